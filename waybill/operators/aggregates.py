@@ -62,7 +62,7 @@ def packages_per_truck_text(activity: DataFrame, max_items: int = 100_000) -> Da
         counts.groupBy("truck_id")
         .agg(F.sum("copies").alias("entries"))
         .where(F.col("entries") > size)
-        .select("truck_id", F.ceil(F.col("entries") / size).alias("segments"))
+        .select(F.col("truck_id").alias("busy_truck"), F.ceil(F.col("entries") / size).alias("segments"))
     )
     lots = counts.select(
         "*", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / size))).alias("lot")
@@ -85,8 +85,11 @@ def packages_per_truck_text(activity: DataFrame, max_items: int = 100_000) -> Da
         ),
         "",
     )
+    # Null-safe: a plain equality would add a not-null filter to one side only, and
+    # the two uses of the counts could no longer share one scan and one shuffle.
+    same_truck = F.col("truck_id").eqNullSafe(F.col("busy_truck"))
     return (
-        lots.join(busy, "truck_id", "left")
+        lots.join(busy, same_truck, "left")
         .select("truck_id", segment.cast("bigint").alias("segment"), "package_id", "copies")
         # Without this the groups would inherit the join's layout by truck alone,
         # and all segments of a busy truck would land in one task.

@@ -58,10 +58,10 @@ def parse_activity(lines: DataFrame) -> DataFrame:
         F.col("pieces").isNotNull().alias("shaped"),
         _piece(0).try_cast("int").alias("flag"),
         strip_blanks(_piece(1)).alias("location"),
-        epoch_to_time(_piece(2).try_cast("bigint")).alias("event_time"),
+        _piece(2).try_cast("bigint").alias("epoch"),
         _piece(3).try_cast("int").alias("truck_id"),
         strip_blanks(_piece(4)).alias("package_id"),
-    )
+    ).withColumn("event_time", epoch_to_time(F.col("epoch")))
     return _judge(
         frame,
         [
@@ -90,10 +90,10 @@ def parse_legacy_activity(lines: DataFrame) -> DataFrame:
     frame = lines.select(LINE, _pieces(LEGACY_SHAPE, ",").alias("pieces")).select(
         LINE,
         F.col("pieces").isNotNull().alias("shaped"),
-        epoch_to_time(_piece(0).try_cast("bigint")).alias("event_time"),
+        _piece(0).try_cast("bigint").alias("epoch"),
         _piece(1).try_cast("int").alias("truck_id"),
         strip_blanks(_piece(2)).alias("package_id"),
-    )
+    ).withColumn("event_time", epoch_to_time(F.col("epoch")))
     return _judge(
         frame,
         [
@@ -138,21 +138,24 @@ def parse_location_names(lines: DataFrame, full_name: bool = False) -> DataFrame
     )
 
 
-def keep_valid(parsed: DataFrame) -> DataFrame:
-    """The records of the lines that parsed.
+def _flat_map(parsed: DataFrame, wanted: Column, columns: list[str]) -> DataFrame:
+    """The given columns of the wanted lines: zero or one row per line.
 
-    A line gives zero or one record, so this is an ``explode``. A plain
-    ``where("ok")`` would be pushed below the parse and run it twice per line.
+    An ``explode`` and not a ``where``: a filter would be pushed below the parse,
+    which would then run once for the filter and once more for the output.
     """
-    record = F.struct(*[F.col(c) for c in parsed.columns if c not in STATUS])
-    return parsed.select(
-        F.explode(F.when(F.col("ok"), F.array(record))).alias("record")
-    ).select("record.*")
+    row = F.struct(*[F.col(c) for c in columns])
+    return parsed.select(F.explode(F.when(wanted, F.array(row))).alias("row")).select("row.*")
+
+
+def keep_valid(parsed: DataFrame) -> DataFrame:
+    """The records of the lines that parsed."""
+    return _flat_map(parsed, F.col("ok"), [c for c in parsed.columns if c not in STATUS])
 
 
 def keep_rejects(parsed: DataFrame) -> DataFrame:
     """The raw lines that did not parse, with the reason."""
-    return parsed.where(~F.col("ok")).select(LINE, "reject_reason")
+    return _flat_map(parsed, ~F.col("ok"), [LINE, "reject_reason"])
 
 
 def split_valid_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

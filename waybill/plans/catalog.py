@@ -331,12 +331,11 @@ def stream_counts_resumed(log: EventLog) -> DataFrame:
     out = scratch_path(log.spark, "stream-resumed")
     events = log.table("events")
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    step = (last - first) / 3
-    lots = [
-        F.col("ts") < F.lit(first + step),
-        F.col("ts").between(F.lit(first + step), F.lit(first + 2 * step)),
-        F.col("ts") > F.lit(first + 2 * step),
+    edges = [
+        F.lit(first + (last - first) * i / 3).cast(events.schema["ts"].dataType) for i in (1, 2)
     ]
+    ts = F.col("ts")
+    lots = [ts < edges[0], ts.between(*edges), ts > edges[1]]
     for lot in lots:
         sources.write_lines(eventlog.activity_lines(events.where(lot)), incoming, mode="append")
         counts = streaming.stream_windowed_counts(streaming.stream_activity(log.spark, incoming))

@@ -5,13 +5,13 @@ from __future__ import annotations
 LINES = """
 base AS (
   SELECT *, CASE WHEN event_type IN ('purchase', 'signup') THEN '1' ELSE '0' END AS flag,
-    concat('L', user_id % 25) AS loc, epoch_us(ts) // 1000000 AS ep, user_id * 4 AS truck,
-    concat(CASE WHEN value >= 75 THEN 'VIP' ELSE 'PKG' END, event_id % 1000) AS pkg
+    'L' || (user_id % 25) AS loc, epoch_us(ts) // 1000000 AS ep, user_id * 4 AS truck,
+    CASE WHEN value >= 75 THEN 'VIP' ELSE 'PKG' END || (event_id % 1000) AS pkg
   FROM events),
 lines AS (
   SELECT CASE WHEN event_type = 'error' THEN '404 - broken message'
-    WHEN value < 10 THEN concat(flag, ', ', loc, ', ', ep, ', ', truck, '######')
-    ELSE concat(flag, ', ', loc, ', ', ep, ', ', truck, ', ', pkg) END AS line
+    WHEN value < 10 THEN flag || ', ' || loc || ', ' || ep || ', ' || truck || '######'
+    ELSE flag || ', ' || loc || ', ' || ep || ', ' || truck || ', ' || pkg END AS line
   FROM base),
 pieces AS (
   SELECT line, list_transform(string_split(rtrim(line, ','), ','), lambda x: trim(x)) AS p
@@ -36,14 +36,18 @@ LEGACY = """
 legacy AS (
   SELECT false AS is_arrival, 'AR' AS location, ep AS event_epoch,
     TRY_CAST(truck AS INTEGER) AS truck_id, pkg AS package_id
-  FROM base WHERE TRY_CAST(truck AS INTEGER) IS NOT NULL),
+  FROM base
+  WHERE TRY_CAST(truck AS INTEGER) IS NOT NULL AND ep IS NOT NULL AND pkg IS NOT NULL),
 both_logs AS (SELECT * FROM act UNION ALL SELECT * FROM legacy)
 """
 
 CALLS = """
-calls AS (SELECT loc AS location, ep AS call_epoch FROM base WHERE event_type = 'error'),
+calls AS (SELECT loc AS location, ep AS call_epoch 
+  FROM base WHERE event_type = 'error' AND loc IS NOT NULL AND ep IS NOT NULL),
 called AS (SELECT location, count(*) AS calls FROM calls GROUP BY location),
-names AS (SELECT concat('L', n_nationkey) AS location, n_name AS name FROM nation),
+names AS (
+  SELECT 'L' || n_nationkey AS location, n_name AS name FROM nation
+  WHERE n_nationkey IS NOT NULL AND n_name IS NOT NULL),
 totals AS (
   SELECT location, count(*) AS events, count(*) FILTER (WHERE is_arrival) AS arrivals
   FROM act GROUP BY location),
@@ -84,8 +88,9 @@ _TAILS: dict[str, tuple[list[str], str]] = {
     "parse_legacy_activity": ([LEGACY], "SELECT * FROM legacy"),
     "rejected_lines": (
         [],
-        """SELECT line AS value, CASE WHEN len(p) <> 5 OR NOT regexp_full_match(p[1], '[+-]?[0-9]+')
-             OR NOT regexp_full_match(p[3], '[+-]?[0-9]+') OR NOT regexp_full_match(p[4], '[+-]?[0-9]+')
+        """SELECT line AS value, CASE WHEN coalesce(len(p) <> 5 OR NOT regexp_full_match(p[1], '[+-]?[0-9]+')
+             OR NOT regexp_full_match(p[3], '[+-]?[0-9]+')
+             OR NOT regexp_full_match(p[4], '[+-]?[0-9]+'), true)
              THEN 'malformed' WHEN coalesce(f NOT IN (0, 1), true) THEN 'flag'
              WHEN coalesce(e NOT BETWEEN -62135596800 AND 253402300799, true) THEN 'time range'
              ELSE 'truck range' END AS reject_reason
