@@ -184,7 +184,7 @@ _TAILS: dict[str, tuple[list[str], str]] = {
     "location_report_text": ([CALLS, REPORT], "SELECT line FROM report"),
     "location_files": (
         [CALLS],
-        """SELECT location, calls AS n, concat(name, ' Warehouse') AS name
+        """SELECT location, calls AS n, name || ' Warehouse' AS name
            FROM called LEFT JOIN names USING (location)""",
     ),
     "count_table_append": (
