@@ -1,7 +1,6 @@
 """Small samples with results worked out by hand."""
 
 from collections import Counter
-from datetime import datetime
 
 import pytest
 from pyspark.errors import PySparkException

@@ -21,9 +21,9 @@ def partition_activity(df: DataFrame, n: int, part: Column) -> DataFrame:
     Write all parts in one pass with ``write_routed(df, "part", path)``, or take
     them apart with ``split_partitions``.
     """
-    checked = F.when(part.between(0, n - 1), part).otherwise(
-        F.raise_error(F.concat(F.lit(f"partition not in [0, {n}): "), F.coalesce(part.cast("string"), F.lit("null")))).cast("int")
-    )
+    shown = F.coalesce(part.cast("string"), F.lit("null"))
+    failure = F.raise_error(F.concat(F.lit(f"partition not in [0, {n}): "), shown))
+    checked = F.when(part.between(0, n - 1), part).otherwise(failure.cast("int"))
     return df.withColumn("part", checked.cast("int"))
 
 
