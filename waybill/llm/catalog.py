@@ -6,27 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sentencepiece_codec, token_counts
+from . import html_extract, sentencepiece_codec, token_counts, url_filters
 from .common import table
 
 #: Folder of public vocabulary files.
 TOKENIZERS = "/opt/tokenizers"
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = sentencepiece_codec.UnigramModel.load(f"{TOKENIZERS}/piece_bpe_32k.model")
     return sentencepiece_codec.round_trips(table(spark, sf_dir, "documents"), model)
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_counts.byte_vocabulary(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op4_sentencepiece, op7_token_counts]
+    named = [op1_url_filters, op4_sentencepiece, op5_html_extraction, op7_token_counts]
     return {query.__name__: query for query in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_url_filters": url_filters.judge_urls_sql()}
