@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import html_extract, sentencepiece_codec, token_counts, url_filters
+from . import html_extract, sentencepiece_codec, token_counts, toxicity, url_filters
 from .common import table
 
 #: Folder of public vocabulary files.
@@ -26,13 +27,21 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.with_score(docs, index)
+    predicted = F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_counts.byte_vocabulary(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_url_filters, op4_sentencepiece, op5_html_extraction, op7_token_counts]
+    named = [op1_url_filters, op4_sentencepiece, op5_html_extraction, op6_toxicity, op7_token_counts]
     return {query.__name__: query for query in named}
 
 

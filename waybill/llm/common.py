@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType, StructField, StructType
 
 from waybill.session import scratch_path
 
@@ -82,3 +83,7 @@ def lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
+
+
+def with_field(schema: StructType, name: str, kind: str) -> StructType:
+    return StructType([*schema.fields, StructField(name, DataType.fromDDL(kind))])

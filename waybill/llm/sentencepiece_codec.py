@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from . import chunks, words
-from .common import column, lists, steps, strings, utf8
+from .common import column, lists, steps, strings, utf8, with_field
 from .trie import DoubleArrayTrie
 
 MARK = "▁"
@@ -191,7 +191,7 @@ def encode(df: DataFrame, model: UnigramModel, text_column: str = "text", ids_co
             numbers, bounds = model.encode(*_led(column(part, text_column)))
             yield pa.RecordBatch.from_arrays([*part.columns, lists(model.ids[numbers], bounds)], names=[*kept, ids_column])
 
-    return rest.mapInArrow(work, rest.schema.add(ids_column, "array<int>"))
+    return rest.mapInArrow(work, with_field(rest.schema, ids_column, "array<int>"))
 
 
 def decode(df: DataFrame, model: UnigramModel, ids_column: str = "piece_ids", text_column: str = "decoded") -> DataFrame:
@@ -212,7 +212,7 @@ def decode(df: DataFrame, model: UnigramModel, ids_column: str = "piece_ids", te
             texts = _decoded(model, number[number >= 0], good)
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*kept, text_column])
 
-    return rest.mapInArrow(work, rest.schema.add(text_column, "string"))
+    return rest.mapInArrow(work, with_field(rest.schema, text_column, "string"))
 
 
 def round_trips(df: DataFrame, model: UnigramModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
