@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, sentencepiece_codec, token_counts, toxicity, url_filters
+from . import decontaminate, html_extract, sentencepiece_codec, token_counts, toxicity, url_filters
 from .common import table
 
 #: Folder of public vocabulary files.
@@ -18,6 +18,12 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item found in it."""
+    benchmark = decontaminate.load_benchmark(table(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminations(table(spark, sf_dir, "documents"), benchmark)
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = sentencepiece_codec.UnigramModel.load(f"{TOKENIZERS}/piece_bpe_32k.model")
     return sentencepiece_codec.round_trips(table(spark, sf_dir, "documents"), model)
@@ -41,7 +47,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_url_filters, op4_sentencepiece, op5_html_extraction, op6_toxicity, op7_token_counts]
+    named = [op1_url_filters, op3_decontamination, op4_sentencepiece, op5_html_extraction, op6_toxicity, op7_token_counts]
     return {query.__name__: query for query in named}
 
 
