@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, repeats, sentencepiece_codec, token_counts, toxicity, url_filters
+from . import decontaminate, html_extract, ngram_join, repeats, sentencepiece_codec, token_counts, toxicity, url_filters
 from .common import table
 
 #: Folder of public vocabulary files.
@@ -18,6 +18,10 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.shingle_components(table(spark, sf_dir, "documents"), size=4, percent=85).drop("row")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and benchmark item found in it."""
     benchmark = decontaminate.load_benchmark(table(spark, sf_dir, "benchmark"))
@@ -51,7 +55,7 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_url_filters, op3_decontamination, op4_sentencepiece, op5_html_extraction, op6_toxicity, op7_token_counts, op9_repeats]
+    named = [op1_url_filters, op2_ngram_join, op3_decontamination, op4_sentencepiece, op5_html_extraction, op6_toxicity, op7_token_counts, op9_repeats]
     return {query.__name__: query for query in named}
 
 
