@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, ngram_join, repeats, sentencepiece_codec, token_counts, toxicity, url_filters
+from . import decontaminate, fingerprints, html_extract, ngram_join, repeats, sentencepiece_codec, token_counts, toxicity, url_filters
 from .common import table
 
 #: Folder of public vocabulary files.
@@ -50,12 +50,16 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_versions(table(spark, sf_dir, "documents"))
+
+
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digests(table(spark, sf_dir, "documents"), min_length=50)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_url_filters, op2_ngram_join, op3_decontamination, op4_sentencepiece, op5_html_extraction, op6_toxicity, op7_token_counts, op9_repeats]
+    named = [op1_url_filters, op2_ngram_join, op3_decontamination, op4_sentencepiece, op5_html_extraction, op6_toxicity, op7_token_counts, op8_fingerprints, op9_repeats]
     return {query.__name__: query for query in named}
 
 
