@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, html_extract, ngram_join, repeats, sentencepiece_codec, token_counts, toxicity, url_filters
+from . import decontaminate, fingerprints, html_extract, licenses, ngram_join, repeats, sentencepiece_codec, token_counts, toxicity, url_filters
 from .common import table
 
 #: Folder of public vocabulary files.
@@ -58,8 +58,15 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digests(table(spark, sf_dir, "documents"), min_length=50)
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents have no paths; theirs are made of the source and the leading digits of the id."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 100), "doc_id")
+    return licenses.scan_licenses(docs.select("doc_id", path.alias("path"), "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_url_filters, op2_ngram_join, op3_decontamination, op4_sentencepiece, op5_html_extraction, op6_toxicity, op7_token_counts, op8_fingerprints, op9_repeats]
+    named = [op1_url_filters, op2_ngram_join, op3_decontamination, op4_sentencepiece, op5_html_extraction, op6_toxicity, op7_token_counts, op8_fingerprints, op9_repeats, op10_licenses]
     return {query.__name__: query for query in named}
 
 
