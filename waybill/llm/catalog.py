@@ -19,7 +19,7 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.shingle_components(table(spark, sf_dir, "documents"), size=4, percent=85).drop("row")
+    return ngram_join.shingle_components(table(spark, sf_dir, "documents"), size=4, percent=85).drop("row", "keeper")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -345,7 +345,8 @@ def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 
 def shingle_components(df: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per row: ``row`` (a key of id and text), its id, ``n_shingles`` and ``component_id``, the smallest id it is linked to."""
+    """Per row: ``row`` (a key of id and text), its id, ``n_shingles``, ``component_id``, the smallest id it is linked to,
+    and ``keeper``, the row that stands for the component (of equal ids any one, but one; null for empty sets)."""
     row, text = _keyed(df, id_column, text_column)
     join = _Join(df.select(row, df[id_column].alias("id"), text), size, percent)
     summaries = staged(join.summaries(), "ngram-summaries")
@@ -354,10 +355,13 @@ def shingle_components(df: DataFrame, size: int = 5, percent: int = 80, id_colum
     links = near.unionByName(join.tile_links(rows, components(near), summaries))
     labels = components(links).withColumnRenamed("node", "cls")
     labelled = summaries.select("row", "id", "n", "cls").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    least = labelled.where("n > 0").groupBy("label").agg(F.min("id").alias("least"))
-    joined = labelled.join(least, "label", "left")
-    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id"))
-    return joined.select("row", F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("first")
+    joined = labelled.join(labelled.where("n > 0").groupBy("label").agg(first), "label", "left")
+    full = F.col("n") > 0
+    component = F.when(full, F.col("first.id")).otherwise(F.col("id"))
+    return joined.select(
+        "row", F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"), F.when(full, F.col("first.row")).alias("keeper")
+    )
 
 
 def one_of_each(df: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -366,7 +370,7 @@ def one_of_each(df: DataFrame, size: int = 5, percent: int = 80, id_column: str
     Of repeated rows one stays; rows with empty sets all stay.
     """
     found = shingle_components(df, size, percent, id_column, text_column)
-    stays = found.where((F.col("n_shingles") == 0) | F.col(id_column).eqNullSafe(F.col("component_id")))
+    stays = found.where((F.col("n_shingles") == 0) | (F.col("row") == F.col("keeper")))
     stays = stays.groupBy("row").agg(F.first("n_shingles").alias("n"))
     row, _ = _keyed(df, id_column, text_column)
     joined = df.select(row, F.struct(*(df[c] for c in df.columns)).alias("own")).join(stays, "row")

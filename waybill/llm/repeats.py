@@ -1,13 +1,13 @@
 """Repeated passages: maximal repeats from common-prefix intervals of suffix arrays.
 
 How the corpus is cut so that no task holds all of it: every window of
-``min_length`` bytes has an anchor, the 16-byte string in it with the smallest
+``min_length`` bytes has an anchor, the 24-byte string in it with the smallest
 hash. Consecutive windows with one anchor form a piece of text, and equal windows
 lie in pieces with equal anchors. So
 
 1. anchors are dealt out by their hash and those of a single document end there
-   (an anchor seen in several documents of one task sends one row, the rest of
-   its rows need no meeting);
+   (of an anchor that a task sees in several documents two rows are enough to meet
+   others, the rest are known to be shared);
 2. the pieces of the other anchors are cut out and equal ones become one, with
    the smallest document that has it;
 3. pieces with one anchor meet, and an enhanced suffix array of them gives the
@@ -37,17 +37,21 @@ from . import chunks
 from .common import column, staged, steps, strings, utf8, with_field
 from .words import mix
 
-ANCHOR = 16
+#: Bytes of an anchor. Shorter ones are fewer, but more of them are shared by chance.
+ANCHOR = 24
 LAST = (1 << 63) - 1
 #: Bytes of pieces that one suffix array holds, unless a single anchor has more.
 ARRAY_BYTES = 3_000_000
 
 
-def _hash16(data: np.ndarray) -> np.ndarray:
-    """A hash of the 16 bytes from each place on; the last places are padded."""
+def _anchor_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of the anchor-sized string from each place on; the last places are padded."""
     padded = np.concatenate([data, np.zeros(ANCHOR, np.uint8)])
-    low, high = (np.ndarray(len(data), "<u8", padded, at, (1,)) for at in (0, 8))
-    return mix(low * np.uint64(0x9E3779B97F4A7C15) ^ (high * np.uint64(0xC2B2AE3D27D4EB4F)))
+    total = np.zeros(len(data), np.uint64)
+    for at in range(0, ANCHOR, 8):
+        total = (total ^ np.ndarray(len(data), "<u8", padded, at, (1,))) * np.uint64(0x9E3779B97F4A7C15)
+        total ^= total >> np.uint64(32)
+    return mix(total)
 
 
 def pieces(data: np.ndarray, bounds: np.ndarray, min_length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -56,7 +60,7 @@ def pieces(data: np.ndarray, bounds: np.ndarray, min_length: int) -> tuple[np.nd
     n, width = len(data), min_length - ANCHOR + 1
     if n < min_length:
         return none
-    hashes = _hash16(data)
+    hashes = _anchor_hashes(data)
     packed = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
     least, size = packed, 1
     while 2 * size <= width:
@@ -169,61 +173,44 @@ def repeated_spans(docs: DataFrame, min_length: int, checkpoint: Callable[[DataF
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in steps(batches, "text"):
             text, _, _, key = pieces(*utf8(column(part, "text")), min_length)
-            rank = column(part, "rank").to_numpy()[text]
             row = column(part, "row").to_numpy()[text]
-            order = np.lexsort((row, rank, key))
-            key, rank, row = key[order].view(np.int64), rank[order], row[order]
+            order = np.lexsort((row, key))
+            key, row = key[order].view(np.int64), row[order]
             if not len(key):
                 continue
             new = np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])]
-            key, rank, row = key[new], rank[new], row[new]
-            head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            group = np.cumsum(np.r_[False, key[1:] != key[:-1]])
-            several = (np.minimum.reduceat(rank, head) < np.maximum.reduceat(rank, head))[group]
-            asks = np.zeros(len(key), bool)
-            asks[head] = True
-            asks |= ~several
+            key, row = key[new], row[new]
+            # Of the rows of a key the first two meet those of other tasks, by route.
+            third = np.r_[False, False, key[2:] == key[:-2]][: len(key)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.where(asks, key, row)), pa.array(key), pa.array(rank), pa.array(row), pa.array(several)],
-                names=["route", "key", "rank", "row", "several"],
+                [pa.array(np.where(third, row, key)), pa.array(np.where(third, key, 0)), pa.array(row)], names=["route", "told", "row"]
             )
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come in order of route, those with several first; a row is told if its key is in several documents."""
-        key, state, waiting = None, False, []  # of the last route seen
+        """Rows come in order of route, told and row; one passes if it is told or its key has several rows."""
+        rest: pa.RecordBatch | None = None  # the last row, whose key may go on
+        linked = False
         for batch in batches:
-            route, own, rank, row, several = (column(batch, c).to_numpy(zero_copy_only=False) for c in ("route", "key", "rank", "row", "several"))
-            if not len(route):
+            if not batch.num_rows:
                 continue
-            new = np.r_[True, route[1:] != route[:-1]]
-            head = np.flatnonzero(new)
-            group = np.cumsum(new) - 1
-            low, high = np.minimum.reduceat(rank, head), np.maximum.reduceat(rank, head)
-            told = np.logical_or.reduceat(several, head) | (low < high)
-            out_row, out_key = [], []
-            if route[0] == key:
-                told[0] |= state or any(r != rank[0] for _, r in waiting)
-                if told[0] and waiting:
-                    out_row.append(np.array([r for r, _ in waiting]))
-                    out_key.append(np.full(len(waiting), key))
-                    waiting = []
-            else:
-                waiting = []
-            passes = told[group] | several
-            out_row.append(row[passes])
-            out_key.append(own[passes])
-            tail = slice(head[-1], None)
-            if len(head) > 1 or route[0] != key:
-                waiting = []
-            key, state = route[-1], bool(told[-1])
-            if not state:
-                # All of one document so far, so one row of each distinct text is enough.
-                waiting = list(dict.fromkeys([*waiting, *zip(row[tail].tolist(), rank[tail].tolist(), strict=True)]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_row)), pa.array(np.concatenate(out_key))], names=["row", "key"])
+            whole = pa.Table.from_batches([rest, batch] if rest else [batch]).combine_chunks().to_batches()[0]
+            route, told, row = (column(whole, c).to_numpy() for c in ("route", "told", "row"))
+            fresh = np.r_[True, (route[1:] != route[:-1]) | (told[1:] != told[:-1]) | (row[1:] != row[:-1])]
+            route, told, row = route[fresh], told[fresh], row[fresh]
+            same = (route[1:] == route[:-1]) & (told[1:] == 0) & (told[:-1] == 0)
+            before = np.r_[linked and rest is not None, same]
+            keep = before | np.r_[same, False] | (told != 0)
+            # The first row has passed already if it was told or linked; the last waits unless it is.
+            sure = bool(before[-1] or told[-1] != 0)
+            keep[0] &= not linked
+            keep[-1] &= sure
+            key = np.where(told != 0, told, route)
+            yield pa.RecordBatch.from_arrays([pa.array(row[keep]), pa.array(key[keep])], names=["row", "key"])
+            linked, rest = sure, batch.slice(batch.num_rows - 1)
 
     asked = docs.where(F.octet_length("text") >= min_length).select("row", "rank", "text")
-    found = asked.mapInArrow(anchors, "route long, key long, rank long, row long, several boolean")
-    meeting = found.repartition("route").sortWithinPartitions("route", F.desc("several"))
+    found = asked.select("row", "text").mapInArrow(anchors, "route long, told long, row long")
+    meeting = found.repartition("route").sortWithinPartitions("route", "told", "row")
     keys = checkpoint(meeting.mapInArrow(shared, "row long, key long"), "repeat-anchors")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
