@@ -4,13 +4,14 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
-from waybill.operators import aggregates, locations, parsing, records, windows
+from waybill.operators import aggregates, combine, locations, parsing, records, windows
+from waybill.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
-EAGER = {name for name in contract.queries() if name.startswith("stream_")} | {
+EAGER = {name for name in catalog.queries() if name.startswith("stream_")} | {
     "text_log_files", "legacy_log_files", "location_files", "activity_text_files", "record_files",
     "package_table_truncate", "count_table_append", "routed_lines", "several_sinks",
+    "invalid_line_metric", "location_report_text", "records_and_rejects_text", "old_new_text",
 }
 
 
@@ -37,9 +38,9 @@ def activity(spark, tmp_path_factory):
     return sources.read_activity(spark, path)
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - EAGER))
 def test_no_cross_joins_and_no_python_rows(spark, name):
-    plan = plan_of(contract.queries()[name](spark, FOLDER))
+    plan = plan_of(catalog.queries()[name](spark, FOLDER))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert ("MapInPandas" in plan) == (name == "par_do_tags")
@@ -47,7 +48,7 @@ def test_no_cross_joins_and_no_python_rows(spark, name):
 
 @pytest.mark.parametrize("name", ["support_calls_per_location", "parse_support_calls"])
 def test_scan_is_pruned_and_filtered(spark, name):
-    plan = plan_of(contract.queries()[name](spark, FOLDER))
+    plan = plan_of(catalog.queries()[name](spark, FOLDER))
     assert "EqualTo(event_type,error)" in plan
     assert "props" not in plan and "value:double" not in plan
 
@@ -92,9 +93,34 @@ def test_aggregates_combine_before_the_shuffle(activity):
         assert plan.index("Exchange") < plan.index("partial_count")
 
 
-def test_segments_share_one_scan(activity):
-    text = aggregates.packages_per_truck_text(activity, 3)
-    assert "ReusedExchange" in final_plan_of(text)
+def test_truck_text_is_one_range_sort(activity):
+    plan = plan_of(aggregates.packages_per_truck_text(activity))
+    assert shuffles(plan) == 1 and plan.count("rangepartitioning") == 1
+    assert "Join" not in plan
+
+
+def test_frames_behind_the_sinks(spark, activity):
+    """What the sinks write: one parse and one scan, no shuffle of raw rows."""
+    parsed = parsing.parse_activity(spark.read.text(activity.inputFiles()))
+    counted, _ = parsing.with_invalid_counter(parsed, "plan_counter")
+    parts = combine.old_new_trucks(activity)
+    for frame in (
+        records.records_and_rejects(parsed),
+        parsing.keep_valid(counted),
+        parsed.select("ok", "value"),
+        parts.select("part", records.activity_line()),
+        records.to_package_table(records.arrivals(activity)),
+    ):
+        plan = plan_of(frame)
+        assert plan.count("RLIKE") == 1 and plan.count("FileScan text") == 1
+        assert shuffles(plan) == 0
+
+
+def test_unused_fields_are_not_parsed(spark, activity):
+    parsed = parsing.parse_activity(spark.read.text(activity.inputFiles()))
+    two = plan_of(parsing.keep_valid(parsed, "truck_id", "package_id"))
+    assert "location" not in two and "is_arrival" not in two
+    assert plan_of(parsing.keep_valid(parsed).select("truck_id", "package_id")) != two
 
 
 def test_report_events_are_not_shuffled(activity):

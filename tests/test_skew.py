@@ -1,60 +1,32 @@
 """Hot keys and piles of copies: results stay whole and no group is gathered."""
 
-from collections import Counter, defaultdict
+from collections import Counter
 
-import pytest
 from pyspark.sql import functions as F
 
 from waybill.operators import aggregates, locations
 
 
-def activity_of(spark, rows):
-    return spark.createDataFrame(rows, "truck_id int, package_id string")
-
-
-@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
-@pytest.mark.parametrize("max_items", [1, 3, 7, 1000])
-def test_segments_hold_every_entry(spark, max_items, broadcast):
-    rows = [(0, f"P{i % 40}") for i in range(90)]  # a hot truck
-    rows += [(0, "SAME")] * 50  # copies of one id
-    rows += [(t, f"P{t}") for t in range(1, 20)] + [(20, "Q")] * 4
-    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
-    try:
-        found = aggregates.packages_per_truck_text(activity_of(spark, rows), max_items).collect()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
-    by_truck = defaultdict(Counter)
-    for r in found:
-        ids = r.packages.removesuffix(",  ").split(",  ")
-        assert ids == sorted(ids)
-        by_truck[r.truck_id].update(ids)
-    expected = defaultdict(Counter)
-    for truck, package in rows:
-        expected[truck][package] += 1
-    assert by_truck == expected
-    assert len({(r.truck_id, r.segment) for r in found}) == len(found)
-    for truck, ids in expected.items():
-        segments = {r.segment for r in found if r.truck_id == truck}
-        wanted = -(-sum(ids.values()) // max_items)
-        assert max(segments) < wanted
-        if wanted == 1:
-            assert segments == {0}
-
-
-def test_busy_segments_spread_over_tasks(spark):
-    """Also when the busy trucks are joined by shuffle, which lays rows out by truck."""
-    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_truck_text_divides_a_busy_truck(spark):
+    """One truck has 90 % of the entries, half of those one id."""
+    n = 8000
+    k = F.col("id")
+    activity = spark.range(0, n, 1, 12).select(
+        F.when(k % 10 < 9, 0).otherwise(k % 7 + 1).cast("int").alias("truck_id"),
+        F.when((k % 10 < 9) & (k % 2 == 0), "SAME").otherwise(F.concat(F.lit("P"), k)).alias("package_id"),
+    )
+    expected = Counter(f"{r.truck_id}: {r.package_id}" for r in activity.collect())
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        rows = activity_of(spark, [(0, f"P{i}") for i in range(4000)])
-        text = aggregates.packages_per_truck_text(rows, 100)
-        tasks = text.select(F.spark_partition_id().alias("task")).distinct().count()
+        text = aggregates.packages_per_truck_text(activity)
+        placed = text.withColumn("task", F.spark_partition_id()).collect()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert tasks > 4
+    keys = [(int(t), p) for t, p in (r.line.split(": ") for r in placed)]
+    assert keys == sorted(keys)
+    assert Counter(r.line for r in placed) == expected
+    assert max(Counter(r.task for r in placed).values()) < n // 2
+    assert len({r.task for r in placed if r.line == "0: SAME"}) > 1
 
 
 def test_report_text_divides_a_busy_location(spark):

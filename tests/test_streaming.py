@@ -72,15 +72,6 @@ def test_append_to_a_catalog_table(spark, folder, tmp_path):
     spark.sql("DROP TABLE stream_counts")
 
 
-def test_complete_result_is_replaced(spark, folder, tmp_path):
-    for i, epochs in enumerate([[1000, 1061], [1010, 1200]]):
-        stage(folder, f"f{i}", epochs, 1_000_000 + 100 * i)
-    counts = streaming.stream_windowed_counts(streaming.stream_activity(spark, str(folder), 1))
-    out = tmp_path / "out"
-    streaming.replace_on_batch(counts, str(tmp_path / "cp"), str(out)).awaitTermination()
-    assert result(spark, out) == {960: 2, 1020: 1, 1200: 1}
-
-
 def test_invalid_lines_are_counted_in_progress(spark, folder, tmp_path):
     for i in range(2):
         stage(folder, f"f{i}", [1000 + i], 1_000_000 + i, extra=["404 - broken message"] * (i + 1))

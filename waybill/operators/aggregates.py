@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.operators.records import vip_only
-from waybill.schema import PACKAGE_SEPARATOR, VIP_PREFIX
+from waybill.schema import VIP_PREFIX
 
 
 def count_per_key(df: DataFrame, *keys: str) -> DataFrame:
@@ -46,59 +46,17 @@ def packages_per_truck(activity: DataFrame) -> DataFrame:
     return activity.groupBy("truck_id", "package_id").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def packages_per_truck_text(activity: DataFrame, max_items: int = 100_000) -> DataFrame:
-    """The ids of a truck as one string, every copy listed, sorted by id.
+def packages_per_truck_text(activity: DataFrame) -> DataFrame:
+    """``truck: id`` lines, one per entry and every copy kept, in order of truck and id.
 
-    A truck of at most ``max_items`` entries is one row, segment 0. A larger one
-    has ``ceil(entries / max_items)`` segments, which together hold every entry:
-    ids are dealt to segments by hash, and the copies of one id in lots of
-    ``max_items``. So no row and no task holds a whole busy truck.
+    One line per entry instead of one line per truck, whatever the truck's size:
+    customers share one truck id, and a line of half the log could not be
+    written. A range sort keeps the order over the part files; its last key tells
+    copies of one entry apart by their task, so that even a pile of them divides.
     """
-    size = F.lit(max_items)
-    counts = packages_per_truck(activity)
-    # Only trucks that need splitting. Without a hint Spark broadcasts this side
-    # if its measured size allows and otherwise shuffles, splitting hot trucks.
-    busy = (
-        counts.groupBy("truck_id")
-        .agg(F.sum("copies").alias("entries"))
-        .where(F.col("entries") > size)
-        .select(F.col("truck_id").alias("busy_truck"), F.ceil(F.col("entries") / size).alias("segments"))
-    )
-    lots = counts.select(
-        "*", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / size))).alias("lot")
-    ).select(
-        "truck_id",
-        "package_id",
-        "lot",
-        F.least(size, F.col("copies") - F.col("lot") * size).cast("int").alias("copies"),
-    )
-    # md5, not Spark's own hash: segments are the same on every engine.
-    hashed = F.conv(F.left(F.md5("package_id"), F.lit(8)), 16, 10).cast("bigint")
-    segment = F.when(
-        F.col("segments").isNotNull(), F.pmod(hashed + F.col("lot"), F.col("segments"))
-    ).otherwise(F.lit(0))
-    entry = F.struct("package_id", "copies")
-    text = F.array_join(
-        F.transform(
-            F.sort_array(F.collect_list(entry)),
-            lambda e: F.repeat(F.concat(e["package_id"], F.lit(PACKAGE_SEPARATOR)), e["copies"]),
-        ),
-        "",
-    )
-    # Null-safe: a plain equality would add a not-null filter to one side only, and
-    # the two uses of the counts could no longer share one scan and one shuffle.
-    same_truck = F.col("truck_id").eqNullSafe(F.col("busy_truck"))
+    line = F.concat(F.col("truck_id"), F.lit(": "), F.col("package_id"))
     return (
-        lots.join(busy, same_truck, "left")
-        .select("truck_id", segment.cast("bigint").alias("segment"), "package_id", "copies")
-        # Without this the groups would inherit the join's layout by truck alone,
-        # and all segments of a busy truck would land in one task.
-        .repartition("truck_id", "segment")
-        .groupBy("truck_id", "segment")
-        .agg(text.alias("packages"))
+        activity.select("truck_id", "package_id", line.alias("line"), F.spark_partition_id().alias("task"))
+        .orderBy("truck_id", "package_id", "task")
+        .select("line")
     )
-
-
-def format_packages_per_truck(trucks: DataFrame) -> DataFrame:
-    """``truck: id,  id,  `` lines of the segments."""
-    return trucks.select(F.concat(F.col("truck_id"), F.lit(": "), F.col("packages")).alias("line"))

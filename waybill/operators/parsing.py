@@ -148,9 +148,10 @@ def _flat_map(parsed: DataFrame, wanted: Column, columns: list[str]) -> DataFram
     return parsed.select(F.explode(F.when(wanted, F.array(row))).alias("row")).select("row.*")
 
 
-def keep_valid(parsed: DataFrame) -> DataFrame:
-    """The records of the lines that parsed."""
-    return _flat_map(parsed, F.col("ok"), [c for c in parsed.columns if c not in STATUS])
+def keep_valid(parsed: DataFrame, *columns: str) -> DataFrame:
+    """The records of the lines that parsed, or the given columns of them; others are then not parsed."""
+    wanted = list(columns) or [c for c in parsed.columns if c not in STATUS]
+    return _flat_map(parsed, F.col("ok"), wanted)
 
 
 def keep_rejects(parsed: DataFrame) -> DataFrame:

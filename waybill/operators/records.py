@@ -31,30 +31,39 @@ def to_package_table(activity: DataFrame) -> DataFrame:
     )
 
 
-def format_activity(activity: DataFrame) -> DataFrame:
-    """One text line per record; the text names neither time nor truck."""
+def activity_line() -> Column:
+    """The text of a record; it names neither time nor truck."""
     start, location, package, end = (F.lit(part) for part in ACTIVITY_TEXT)
-    return activity.select(
-        F.concat(
-            start,
-            F.col("is_arrival").cast("string"),
-            location,
-            F.col("location"),
-            package,
-            F.col("package_id"),
-            end,
-        ).alias("line")
+    return F.concat(
+        start,
+        F.col("is_arrival").cast("string"),
+        location,
+        F.col("location"),
+        package,
+        F.col("package_id"),
+        end,
     )
 
 
+def format_activity(activity: DataFrame) -> DataFrame:
+    """One text line per record."""
+    return activity.select(activity_line().alias("line"))
+
+
+def records_and_rejects(parsed: DataFrame) -> DataFrame:
+    """A line per parsed line: the record's text where it parsed, else the raw line, for ``write_routed`` by ``ok``."""
+    return parsed.select("ok", F.when(F.col("ok"), activity_line()).otherwise(F.col("value")).alias("line"))
+
+
 def format_counts(counts: DataFrame, key: str, count: str = "n") -> DataFrame:
     """``key: count`` lines."""
     return counts.select(F.concat(F.col(key).cast("string"), F.lit(": "), F.col(count)).alias("line"))
 
 
-def format_hourly_counts(counts: DataFrame) -> DataFrame:
-    """``Fri Jul 01 17:00:00 UTC 2016: 6`` lines, in the session's zone."""
-    hour = F.date_format("hour", "EEE MMM dd HH:mm:ss zzz yyyy")
+def format_hourly_counts(counts: DataFrame, tz: str = "UTC") -> DataFrame:
+    """``Fri Jul 01 17:00:00 UTC 2016: 6`` lines: wall clock and zone name of ``tz``, the zone that was counted in."""
+    shown = {"timestampFormat": "EEE MMM dd HH:mm:ss zzz yyyy", "timeZone": tz}
+    hour = F.to_csv(F.struct("hour"), shown)
     return counts.select(F.concat(hour, F.lit(": "), F.col("n")).alias("line"))
 
 
@@ -67,11 +76,6 @@ def format_windowed_counts(counts: DataFrame, key: str = "location") -> DataFram
     )
 
 
-def map_elements(df: DataFrame, **columns: Column) -> DataFrame:
-    """One output row per input row, each column given as an expression."""
-    return df.select(*[column.alias(name) for name, column in columns.items()])
-
-
 def par_do(
     df: DataFrame,
     fn: Callable[[Iterator[pd.DataFrame]], Iterable[pd.DataFrame]],

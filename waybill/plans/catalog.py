@@ -66,11 +66,34 @@ def rejected_lines(log: EventLog) -> DataFrame:
     return rejects
 
 
+@_query
+def rejected_other_lines(log: EventLog) -> DataFrame:
+    """Rejects of the old log, the calls and the names, with the log they are from."""
+    events = log.table("events")
+    parsed = {
+        "legacy": parsing.parse_legacy_activity(eventlog.legacy_lines(events)),
+        "calls": parsing.parse_support_calls(eventlog.call_lines(events)),
+        "names": parsing.parse_location_names(eventlog.name_lines(log.table("nation"))),
+    }
+    rejects = [parsing.keep_rejects(frame).withColumn("log", F.lit(name)) for name, frame in parsed.items()]
+    return rejects[0].unionByName(rejects[1]).unionByName(rejects[2])
+
+
 @_query
 def invalid_line_count(log: EventLog) -> DataFrame:
     return parsing.count_invalid(log.parsed)
 
 
+@_query
+def invalid_line_metric(log: EventLog) -> DataFrame:
+    """The counter that one write fills, next to the rows it wrote."""
+    path = scratch_path(log.spark, "counted")
+    parsed, counter = parsing.with_invalid_counter(log.parsed)
+    sources.write_records(parsing.keep_valid(parsed), path)
+    written = log.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("written"))
+    return written.select(F.lit(counter.get["invalid_lines"]).cast("bigint").alias("invalid"), "written")
+
+
 @_query
 def parse_support_calls(log: EventLog) -> DataFrame:
     return log.calls
@@ -99,13 +122,15 @@ def activity_text(log: EventLog) -> DataFrame:
 
 @_query
 def par_do_tags(log: EventLog) -> DataFrame:
+    """The Python escape hatch on a small example; ``where`` and ``union`` would do the same."""
+
     def tags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             vip = batch.package_id.str.startswith("VIP")
             for tag, rows in (("arrival", batch[batch.is_arrival]), ("vip", batch[vip])):
                 yield rows[["package_id"]].assign(tag=tag)
 
-    picked = log.activity.select("is_arrival", "package_id")
+    picked = parsing.keep_valid(log.parsed, "is_arrival", "package_id")
     return records.par_do(picked, tags, "package_id string, tag string")
 
 
@@ -144,7 +169,7 @@ def packages_per_truck(log: EventLog) -> DataFrame:
 
 @_query
 def packages_per_truck_text(log: EventLog) -> DataFrame:
-    return aggregates.packages_per_truck_text(log.activity)
+    return aggregates.packages_per_truck_text(parsing.keep_valid(log.parsed, "truck_id", "package_id"))
 
 
 @_query
@@ -179,6 +204,17 @@ def hourly_counts_half_hour_zone(log: EventLog) -> DataFrame:
     return _in_seconds(windows.hourly_counts(log.activity, "Asia/Kolkata"), "hour", "hour_epoch")
 
 
+@_query
+def hourly_count_text(log: EventLog) -> DataFrame:
+    return records.format_hourly_counts(windows.hourly_counts(log.activity, "UTC"), "UTC")
+
+
+@_query
+def hourly_count_text_half_hour_zone(log: EventLog) -> DataFrame:
+    zone = "Asia/Kolkata"
+    return records.format_hourly_counts(windows.hourly_counts(log.activity, zone), zone)
+
+
 @_query
 def windowed_counts_60m(log: EventLog) -> DataFrame:
     return _in_seconds(windows.windowed_counts(log.activity), "window_start", "window_epoch")
@@ -216,7 +252,10 @@ def location_report_lines(log: EventLog) -> DataFrame:
 
 @_query
 def location_report_text(log: EventLog) -> DataFrame:
-    report = locations.location_report_lines(log.activity, log.calls, log.names)
+    """The log is parsed once: the report's totals, its event lines and the sort's sample read the staged records."""
+    path = scratch_path(log.spark, "report-records")
+    sources.write_records(parsing.keep_valid(log.parsed, "location", "is_arrival", "event_time", "package_id"), path)
+    report = locations.location_report_lines(log.spark.read.parquet(path), log.calls, log.names)
     return locations.location_report_text(report)
 
 
@@ -287,6 +326,23 @@ def routed_lines(log: EventLog) -> DataFrame:
     return log.spark.read.parquet(path).select(F.col("ok").cast("string").alias("ok"), "value")
 
 
+@_query
+def records_and_rejects_text(log: EventLog) -> DataFrame:
+    """Formatted records and raw rejects to two folders of text in a single pass."""
+    path = scratch_path(log.spark, "records-and-rejects")
+    sources.write_routed(records.records_and_rejects(log.parsed), "ok", path, "text")
+    return log.spark.read.text(path).select(F.col("ok").cast("string").alias("ok"), F.col("value").alias("line"))
+
+
+@_query
+def old_new_text(log: EventLog) -> DataFrame:
+    """Formatted records of old and new trucks to two folders of text in a single pass."""
+    path = scratch_path(log.spark, "old-new")
+    parts = combine.old_new_trucks(combine.union_activity(log.activity, log.legacy))
+    sources.write_routed(parts.select("part", records.activity_line().alias("line")), "part", path, "text")
+    return log.spark.read.text(path).select("part", F.col("value").alias("line"))
+
+
 @_query
 def several_sinks(log: EventLog) -> DataFrame:
     lines, mean = scratch_path(log.spark, "vip-lines"), scratch_path(log.spark, "vip-mean")
@@ -317,13 +373,6 @@ def stream_counts_1m_append(log: EventLog) -> DataFrame:
     return _in_seconds(log.spark.read.parquet(out), "window_start", "window_epoch")
 
 
-@_query
-def stream_counts_1m_complete(log: EventLog) -> DataFrame:
-    out = scratch_path(log.spark, "stream-complete")
-    streaming.replace_on_batch(_streamed(log), f"{out}-checkpoint", out).awaitTermination()
-    return _in_seconds(log.spark.read.parquet(out), "window_start", "window_epoch")
-
-
 @_query
 def stream_counts_resumed(log: EventLog) -> DataFrame:
     """Log files arrive in three lots by time; the stream is restarted for each."""
@@ -341,3 +390,19 @@ def stream_counts_resumed(log: EventLog) -> DataFrame:
         counts = streaming.stream_windowed_counts(streaming.stream_activity(log.spark, incoming))
         streaming.stream_to_table(counts, f"{out}-checkpoint", path=out).awaitTermination()
     return _in_seconds(log.spark.read.parquet(out), "window_start", "window_epoch")
+
+
+@_query
+def stream_counts_late(log: EventLog) -> DataFrame:
+    """A tenth of the first half of the log arrives with the second half, too late for its windows."""
+    incoming = scratch_path(log.spark, "stream-late-incoming")
+    out = scratch_path(log.spark, "stream-late")
+    events = log.table("events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    half = F.lit(first + (last - first) / 2).cast(events.schema["ts"].dataType)
+    in_time = F.coalesce((F.col("ts") < half) & (F.col("event_id") % 10 != 0), F.lit(False))
+    for lot in (in_time, ~in_time):
+        sources.write_lines(eventlog.activity_lines(events.where(lot)), incoming, mode="append")
+        counts = streaming.stream_windowed_counts(streaming.stream_activity(log.spark, incoming))
+        streaming.stream_to_table(counts, f"{out}-checkpoint", path=out).awaitTermination()
+    return _in_seconds(log.spark.read.parquet(out), "window_start", "window_epoch")

@@ -7,7 +7,11 @@ queries parse the lines back:
 * an ``error`` event is a broken line (and a support call for its location);
 * a reading below 10 cuts the line short after the truck;
 * purchases and sign-ups are arrivals, all else departures;
-* readings of 75 and more are VIP packages.
+* readings of 75 and more are VIP packages, but not at ``L2``;
+* by their number, some events have odd flags, tabs, commas at the end, times and
+  trucks out of range, an empty location or a blank package;
+* ``L25`` to ``L28`` and ``L3`` have no name, ``L1`` no call, ``C0`` calls only;
+* old-log and call lines are broken in their own ways, by number too.
 """
 
 from __future__ import annotations
@@ -25,8 +29,12 @@ def utc_time(df: DataFrame, column: str) -> Column:
     return F.from_utc_timestamp(F.col(column).cast("timestamp"), F.current_timezone())
 
 
+LOCATIONS = 29
+LATE_TIME, ENDLESS_TIME, LARGE_TRUCK = "253402300800", "99999999999999999999", "2147483648"
+
+
 def _location() -> Column:
-    return F.concat(F.lit("L"), F.col("user_id") % 25)
+    return F.concat(F.lit("L"), F.col("user_id") % LOCATIONS)
 
 
 def _epoch(events: DataFrame) -> Column:
@@ -34,40 +42,54 @@ def _epoch(events: DataFrame) -> Column:
 
 
 def _package() -> Column:
-    prefix = F.when(F.col("value") >= 75, "VIP").otherwise("PKG")
-    return F.concat(prefix, F.col("event_id") % 1000)
+    vip = (F.col("value") >= 75) & (F.col("user_id") % LOCATIONS != 2)
+    return F.concat(F.when(vip, "VIP").otherwise("PKG"), F.col("event_id") % 1000)
+
+
+def _odd(number: Column, odd: dict[int, Column | str], usual: Column) -> Column:
+    """The usual text, or another for the numbers listed."""
+    text = usual.cast("string")
+    for k, other in odd.items():
+        text = F.when(number == k, other if isinstance(other, Column) else F.lit(other)).otherwise(text)
+    return text
 
 
 def activity_lines(events: DataFrame) -> DataFrame:
-    flag = F.when(F.col("event_type").isin("purchase", "signup"), "1").otherwise("0")
-    fields = [flag, _location(), _epoch(events), F.col("user_id") * 4]
-    comma = F.lit(", ")
-    start = F.concat(fields[0], comma, fields[1], comma, fields[2], comma, fields[3])
+    kind = F.col("event_id") % 41
+    flag = _odd(kind, {1: "01", 2: "+1", 3: "-0", 4: "2"}, F.when(F.col("event_type").isin("purchase", "signup"), "1").otherwise("0"))
+    location = _odd(kind, {10: ""}, _location())
+    time = _odd(kind, {7: LATE_TIME, 8: ENDLESS_TIME}, _epoch(events))
+    truck = _odd(kind, {9: LARGE_TRUCK}, F.col("user_id") * 4)
+    package = _odd(kind, {11: " "}, _package())
+    comma = _odd(kind, {5: "\t,\t"}, F.lit(", "))
+    start = F.concat(flag, comma, location, comma, time, comma, truck)
+    broken = _odd(F.col("event_id") % 4, {1: ",,,", 2: "", 3: "1, L3, 17, x4, P"}, F.lit("no record here"))
     return events.select(
-        F.when(F.col("event_type") == "error", F.lit("404 - broken message"))
+        F.when(F.col("event_type") == "error", broken)
         .when(F.col("value") < 10, F.concat(start, F.lit("######")))
-        .otherwise(F.concat(start, comma, _package()))
+        .otherwise(F.concat(start, comma, package, _odd(kind, {6: ",,"}, F.lit(""))))
         .alias("value")
     )
 
 
 def legacy_lines(events: DataFrame) -> DataFrame:
-    comma = F.lit(", ")
-    return events.select(
-        F.concat(_epoch(events), comma, F.col("user_id") * 4, comma, _package()).alias("value")
-    )
+    kind = F.col("event_id") % 17
+    time, truck = _odd(kind, {3: LATE_TIME}, _epoch(events)), _odd(kind, {2: LARGE_TRUCK}, F.col("user_id") * 4)
+    end = _odd(kind, {0: "", 1: F.concat(F.lit(", "), _package(), F.lit(", more"))}, F.concat(F.lit(", "), _package()))
+    return events.select(F.concat(time, F.lit(", "), truck, end).alias("value"))
 
 
 def call_lines(events: DataFrame) -> DataFrame:
-    return events.where(F.col("event_type") == "error").select(
-        F.concat(_location(), F.lit(" "), _epoch(events)).alias("value")
-    )
+    kind, place = F.col("event_id") % 13, F.col("user_id") % LOCATIONS
+    location = F.when(place == 0, "C0").otherwise(_location())
+    # Nobody calls from L1: its lines lack the time.
+    time = F.when(place == 1, "").otherwise(_odd(kind, {0: "", 1: " soon", 2: " " + ENDLESS_TIME}, F.concat(F.lit(" "), _epoch(events))))
+    return events.where(F.col("event_type") == "error").select(F.concat(location, time).alias("value"))
 
 
 def name_lines(nation: DataFrame) -> DataFrame:
-    return nation.select(
-        F.concat(F.lit("L"), F.col("n_nationkey"), F.lit(" "), F.col("n_name"), F.lit(" Warehouse")).alias("value")
-    )
+    name = F.when(F.col("n_nationkey") == 3, "").otherwise(F.concat(F.lit(" "), F.col("n_name"), F.lit(" Warehouse")))
+    return nation.select(F.concat(F.lit("L"), F.col("n_nationkey"), name).alias("value"))
 
 
 class EventLog:

@@ -4,21 +4,34 @@ from __future__ import annotations
 
 LINES = """
 base AS (
-  SELECT *, CASE WHEN event_type IN ('purchase', 'signup') THEN '1' ELSE '0' END AS flag,
-    'L' || (user_id % 25) AS loc, epoch_us(ts) // 1000000 AS ep, user_id * 4 AS truck,
-    CASE WHEN value >= 75 THEN 'VIP' ELSE 'PKG' END || (event_id % 1000) AS pkg
+  SELECT *, event_id % 41 AS k, user_id % 29 AS place, epoch_us(ts) // 1000000 AS ep,
+    CASE WHEN value >= 75 AND user_id % 29 <> 2 THEN 'VIP' ELSE 'PKG' END || (event_id % 1000) AS pkg
   FROM events),
-lines AS (
-  SELECT CASE WHEN event_type = 'error' THEN '404 - broken message'
-    WHEN value < 10 THEN flag || ', ' || loc || ', ' || ep || ', ' || truck || '######'
-    ELSE flag || ', ' || loc || ', ' || ep || ', ' || truck || ', ' || pkg END AS line
+fields AS (
+  SELECT *,
+    CASE k WHEN 1 THEN '01' WHEN 2 THEN '+1' WHEN 3 THEN '-0' WHEN 4 THEN '2'
+      ELSE CASE WHEN event_type IN ('purchase', 'signup') THEN '1' ELSE '0' END END AS flag,
+    CASE k WHEN 10 THEN '' ELSE 'L' || place END AS loc,
+    CASE k WHEN 7 THEN '253402300800' WHEN 8 THEN '99999999999999999999' ELSE ep::VARCHAR END AS time,
+    CASE k WHEN 9 THEN '2147483648' ELSE (user_id * 4)::VARCHAR END AS truck,
+    CASE k WHEN 11 THEN ' ' ELSE pkg END AS package,
+    CASE k WHEN 5 THEN chr(9) || ',' || chr(9) ELSE ', ' END AS sep
   FROM base),
+lines AS (
+  SELECT event_id, ts, CASE
+    WHEN event_type = 'error' THEN
+      CASE event_id % 4 WHEN 1 THEN ',,,' WHEN 2 THEN '' WHEN 3 THEN '1, L3, 17, x4, P' ELSE 'no record here' END
+    WHEN value < 10 THEN flag || sep || loc || sep || time || sep || truck || '######'
+    ELSE flag || sep || loc || sep || time || sep || truck || sep || package || CASE k WHEN 6 THEN ',,' ELSE '' END
+    END AS line
+  FROM fields),
 pieces AS (
-  SELECT line, list_transform(string_split(rtrim(line, ','), ','), lambda x: trim(x)) AS p
+  SELECT *, list_transform(string_split(rtrim(line, ','), ','),
+    lambda x: trim(x, array_to_string(list_transform(range(1, 33), lambda c: chr(c::INTEGER)), ''))) AS p
   FROM lines),
 numbers AS (
-  SELECT line, p,
-    CASE WHEN regexp_full_match(p[1], '[+-]?[0-9]+') THEN TRY_CAST(p[1] AS INTEGER) END AS f,
+  SELECT *,
+    CASE WHEN regexp_full_match(p[1], '[+-]?[0-9]+') THEN TRY_CAST(ltrim(p[1], '+') AS INTEGER) END AS f,
     CASE WHEN regexp_full_match(p[3], '[+-]?[0-9]+') THEN TRY_CAST(p[3] AS BIGINT) END AS e,
     CASE WHEN regexp_full_match(p[4], '[+-]?[0-9]+') THEN TRY_CAST(p[4] AS INTEGER) END AS t
   FROM pieces),
@@ -33,21 +46,29 @@ act AS (
 """
 
 LEGACY = """
+old AS (
+  SELECT event_id % 17 AS m, CASE event_id % 17 WHEN 3 THEN '253402300800' ELSE ep::VARCHAR END || ', ' ||
+    CASE event_id % 17 WHEN 2 THEN '2147483648' ELSE (user_id * 4)::VARCHAR END ||
+    CASE event_id % 17 WHEN 0 THEN '' WHEN 1 THEN ', ' || pkg || ', more' ELSE ', ' || pkg END AS line,
+    ep, user_id, pkg
+  FROM base),
 legacy AS (
-  SELECT false AS is_arrival, 'AR' AS location, ep AS event_epoch,
-    TRY_CAST(truck AS INTEGER) AS truck_id, pkg AS package_id
-  FROM base
-  WHERE TRY_CAST(truck AS INTEGER) IS NOT NULL AND ep IS NOT NULL AND pkg IS NOT NULL),
+  SELECT false AS is_arrival, 'AR' AS location, ep AS event_epoch, (user_id * 4)::INTEGER AS truck_id, pkg AS package_id
+  FROM old WHERE m > 3),
 both_logs AS (SELECT * FROM act UNION ALL SELECT * FROM legacy)
 """
 
 CALLS = """
-calls AS (SELECT loc AS location, ep AS call_epoch 
-  FROM base WHERE event_type = 'error' AND loc IS NOT NULL AND ep IS NOT NULL),
+rung AS (
+  SELECT CASE WHEN place = 0 THEN 'C0' ELSE 'L' || place END AS loc, ep,
+    CASE WHEN place = 1 OR event_id % 13 = 0 THEN '' WHEN event_id % 13 = 1 THEN ' soon'
+      WHEN event_id % 13 = 2 THEN ' 99999999999999999999' END AS broken
+  FROM base WHERE event_type = 'error'),
+calls AS (SELECT loc AS location, ep AS call_epoch FROM rung WHERE broken IS NULL),
 called AS (SELECT location, count(*) AS calls FROM calls GROUP BY location),
 names AS (
   SELECT 'L' || n_nationkey AS location, n_name AS name FROM nation
-  WHERE n_nationkey IS NOT NULL AND n_name IS NOT NULL),
+  WHERE n_nationkey <> 3 AND n_name IS NOT NULL),
 totals AS (
   SELECT location, count(*) AS events, count(*) FILTER (WHERE is_arrival) AS arrivals
   FROM act GROUP BY location),
@@ -67,21 +88,6 @@ report AS (
   UNION ALL SELECT location, 4, concat('End ', location, repeat('*', 6)) FROM joined)
 """
 
-# The ids of a truck in lots and segments of at most 100000 entries.
-SEGMENTS = """
-counts AS (SELECT truck_id, package_id, count(*) AS copies FROM act GROUP BY ALL),
-sized AS (
-  SELECT *, (sum(copies) OVER (PARTITION BY truck_id))::BIGINT AS entries FROM counts),
-lots AS (
-  SELECT *, unnest(range((copies + 99999) // 100000)) AS lot FROM sized),
-dealt AS (
-  SELECT truck_id, package_id, least(100000, copies - lot * 100000) AS n,
-    CASE WHEN entries <= 100000 THEN 0 ELSE
-      (('0x' || left(md5(package_id), 8))::BIGINT + lot) % ((entries + 99999) // 100000)
-    END AS segment
-  FROM lots)
-"""
-
 # Name -> (blocks after LINES, final SELECT).
 _TAILS: dict[str, tuple[list[str], str]] = {
     "parse_activity": ([], "SELECT * FROM act"),
@@ -96,6 +102,19 @@ _TAILS: dict[str, tuple[list[str], str]] = {
              ELSE 'truck range' END AS reject_reason
            FROM checked WHERE NOT ok""",
     ),
+    "rejected_other_lines": (
+        [LEGACY, CALLS],
+        """SELECT 'legacy' AS log, line AS value,
+             CASE m WHEN 3 THEN 'time range' WHEN 2 THEN 'truck range' ELSE 'malformed' END AS reject_reason
+           FROM old WHERE m <= 3
+           UNION ALL SELECT 'calls', loc || broken, CASE WHEN broken LIKE ' 9%' THEN 'time range' ELSE 'malformed' END
+           FROM rung WHERE broken IS NOT NULL
+           UNION ALL SELECT 'names', 'L3', 'malformed' FROM nation WHERE n_nationkey = 3""",
+    ),
+    "invalid_line_metric": (
+        [],
+        "SELECT count(*) FILTER (WHERE NOT ok) AS invalid, count(*) FILTER (WHERE ok) AS written FROM checked",
+    ),
     "invalid_line_count": ([], "SELECT count(*) FILTER (WHERE NOT ok) AS n FROM checked"),
     "parse_support_calls": ([CALLS], "SELECT location, call_epoch FROM calls"),
     "parse_location_names": ([CALLS], "SELECT location, name FROM names"),
@@ -137,12 +156,7 @@ _TAILS: dict[str, tuple[list[str], str]] = {
         [],
         "SELECT truck_id, package_id, count(*) AS copies FROM act GROUP BY truck_id, package_id",
     ),
-    "packages_per_truck_text": (
-        [SEGMENTS],
-        """SELECT truck_id, segment::BIGINT AS segment,
-             string_agg(repeat(concat(package_id, ',  '), n::BIGINT), '' ORDER BY package_id, n) AS packages
-           FROM dealt GROUP BY truck_id, segment""",
-    ),
+    "packages_per_truck_text": ([], "SELECT concat(truck_id, ': ', package_id) AS line FROM act"),
     "support_calls_per_location": ([CALLS], "SELECT location, calls AS n FROM called"),
     "union_with_legacy": ([LEGACY], "SELECT * FROM both_logs"),
     "partition_old_new": (
@@ -158,6 +172,16 @@ _TAILS: dict[str, tuple[list[str], str]] = {
         """SELECT (event_epoch + 19800) // 3600 * 3600 - 19800 AS hour_epoch, count(*) AS n
            FROM act GROUP BY 1""",
     ),
+    "hourly_count_text": (
+        [],
+        """SELECT concat(strftime(make_timestamp(h * 1000000), '%a %b %d %H:%M:%S UTC %Y'), ': ', n) AS line
+           FROM (SELECT event_epoch // 3600 * 3600 AS h, count(*) AS n FROM act GROUP BY 1)""",
+    ),
+    "hourly_count_text_half_hour_zone": (
+        [],
+        """SELECT concat(strftime(make_timestamp(h * 1000000), '%a %b %d %H:%M:%S IST %Y'), ': ', n) AS line
+           FROM (SELECT (event_epoch + 19800) // 3600 * 3600 AS h, count(*) AS n FROM act GROUP BY 1)""",
+    ),
     "windowed_counts_60m": (
         [],
         """SELECT location, event_epoch // 3600 * 3600 AS window_epoch, count(*) AS n
@@ -192,6 +216,16 @@ _TAILS: dict[str, tuple[list[str], str]] = {
         """SELECT location, count(*) AS count, event_epoch // w * w AS window_epoch
            FROM act CROSS JOIN (VALUES (3600), (60)) AS widths(w) GROUP BY location, w, 3""",
     ),
+    "records_and_rejects_text": (
+        [],
+        """SELECT ok::VARCHAR AS ok, CASE WHEN ok THEN concat('PackageActivityInfo [isArrival=', f = 1, ', location=', p[2],
+             ', packageId=', p[5], ']') ELSE line END AS line FROM checked""",
+    ),
+    "old_new_text": (
+        [LEGACY],
+        """SELECT CASE WHEN truck_id < 200 THEN 0 ELSE 1 END AS part, concat('PackageActivityInfo [isArrival=', is_arrival,
+             ', location=', location, ', packageId=', package_id, ']') AS line FROM both_logs""",
+    ),
     "routed_lines": ([], "SELECT ok::VARCHAR AS ok, line AS value FROM checked"),
     "several_sinks": (
         [
@@ -207,6 +241,16 @@ _TAILS: dict[str, tuple[list[str], str]] = {
              SELECT location, event_epoch // 60 * 60 AS w, count(*) AS n FROM act GROUP BY 1, 2)
            WHERE w + 60 <= (SELECT max(event_epoch) FROM act) - 5""",
     ),
+    "stream_counts_late": (
+        [
+            """half AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS half_at FROM events),
+               lots AS (SELECT p[2] AS location, e, e // 60 * 60 AS w, (ts < half_at AND event_id % 10 <> 0) AS early
+                 FROM checked, half WHERE ok),
+               seen AS (SELECT max(e) FILTER (WHERE early) - 5 AS first, max(e) - 5 AS last FROM lots)"""
+        ],
+        """SELECT location, w AS window_epoch, count(*) AS n FROM lots, seen
+           WHERE (early OR w + 60 > first) AND w + 60 <= last GROUP BY 1, 2""",
+    ),
 }
 
 # Written and read back, or computed another way: the rows are those of the query named.
@@ -216,7 +260,6 @@ _SAME_ROWS = {
     "activity_text_files": "activity_text",
     "record_files": "parse_activity",
     "package_table_truncate": "arrivals_table",
-    "stream_counts_1m_complete": "windowed_counts_1m",
     "stream_counts_resumed": "stream_counts_1m_append",
 }
 

@@ -34,7 +34,6 @@ LEGACY_LOCATION = "AR"
 VIP_PREFIX = "VIP"
 NEW_TRUCK_THRESHOLD = 200
 ACTIVITY_TEXT = ("PackageActivityInfo [isArrival=", ", location=", ", packageId=", "]")
-PACKAGE_SEPARATOR = ",  "
 REPORT_LOCATION = "Location: "
 REPORT_CALLS = "Total # Support Calls: "
 REPORT_ARRIVED = "Arrived: "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,12 +33,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path for written intermediates and stream checkpoints.
 
     It lies in the shared folder named by ``spark.checkpoint.dir``. Only a local
-    session may go without that setting; it then gets a temporary folder.
+    session may go without that setting; it then gets a temporary folder. Nothing
+    here removes what is written: whoever owns the folder clears it once the job
+    that wrote there is over.
     """
     unique = f"{name}-{uuid.uuid4().hex}"
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{unique}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return os.path.join(tempfile.mkdtemp(prefix="waybill-"), unique)

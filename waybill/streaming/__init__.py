@@ -1,5 +1,4 @@
 from waybill.streaming.activity import (
-    replace_on_batch,
     stream_activity,
     stream_lines,
     stream_to_table,
@@ -7,7 +6,6 @@ from waybill.streaming.activity import (
 )
 
 __all__ = [
-    "replace_on_batch",
     "stream_activity",
     "stream_lines",
     "stream_to_table",

@@ -14,16 +14,24 @@ from waybill.operators.parsing import keep_valid, parse_activity
 from waybill.operators.windows import windowed_counts
 
 
-def stream_lines(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+def stream_lines(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None, bytes_per_batch: str | None = None
+) -> DataFrame:
     """Lines of the text files that arrive in a folder.
 
     Files are taken in order of modification time. With several batches they
     should arrive in event-time order, or rows may come too late for their
-    window; without ``files_per_batch`` each batch takes all files there are.
+    window; without a limit each batch takes all files there are. A backlog of
+    any size should have one: ``files_per_batch`` or ``bytes_per_batch`` (such as
+    "10g"). Which rows are late depends on it. Window state is kept on the
+    executors' heaps by default; for many keys set
+    ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider.
     """
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.text(folder)
 
 
@@ -66,16 +74,3 @@ def stream_to_table(
         .trigger(**(trigger or {"availableNow": True}))
     )
     return writer.toTable(table) if table is not None else writer.start(path)
-
-
-def replace_on_batch(
-    df: DataFrame, checkpoint: str, path: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """Keep the complete result so far at a path, replaced after every batch."""
-    return (
-        df.writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
