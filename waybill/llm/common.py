@@ -35,7 +35,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.staged_path = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a frame from ``staged`` that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
