@@ -1,6 +1,6 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs, in DataFrame functions only.
 
-A text is a list of short paragraphs: its lines, cut after every eight words. A
+A text is a list of short paragraphs: its lines, cut after every 100 characters. A
 paragraph's digest is 64 bits. A sketch has cells; each digest goes into one cell
 of each of three parts, where the cell keeps a count, the XOR of the digests and
 the XOR of their checks. Cells of two sketches subtract; what they have in common
@@ -8,16 +8,17 @@ is gone. A cell of one digest with a fitting check then gives it away, and takin
 it out of its other cells frees more (peeling). When all cells are empty, the
 digests on either side are known and the likeness is the share of common ones:
 ``common / (common + differing)``. If peeling stops early the pair is sketched
-again with four times the cells, until it succeeds; beyond ``CELLS`` the sorted
-digests are compared instead.
+again with more cells; beyond ``CELLS`` the digests themselves are compared.
 
-To keep sketches small at any length, digests are dealt into sub-sketches by
-their leading bits, about four digests each, which peel by themselves; both
-sides of a pair have the same number of them.
+To keep sketches small at any length, digests are dealt into sub-sketches of
+about four digests a side, one row each, which peel by themselves and together
+take time in proportion to the text; both sides of a pair have the same number.
+Subtracting cell by cell is the same as entering one side's digests with a minus
+sign, and that is how a pair's cells are filled.
 
-The fingerprint in the output is the SHA-256 of the text's own sketch: equal
-paragraph sets give equal fingerprints, so equal texts do. Paragraphs count once
-each; how often one repeats does not matter.
+The fingerprint in the output is the SHA-256 of a small sketch of the text alone:
+equal paragraph sets give equal fingerprints, so equal texts do. Paragraphs count
+once each; how often one repeats does not matter.
 
 Defined results: a null text counts as empty; an empty text has no paragraphs and
 two such texts have likeness 1. The neighbour of a row is the next one in
@@ -31,10 +32,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-WORDS = 8
+from .common import staged
+
+#: Characters of a paragraph at most.
+WIDTH = 100
 PER_SKETCH = 4
 #: Cells per part of a sub-sketch, one attempt after the other.
-CELLS = (8, 24, 96)
+CELLS = (8, 24)
+#: Cells per part of the sketch that the fingerprint is made of.
+OWN_CELLS = 4
 _SALTS = (11, 23, 47)
 #: Rows of a range of the order, and the most ranges.
 RANGE_ROWS, MOST_RANGES = 4_000, 10_000
@@ -42,10 +48,15 @@ _ITEM = "struct<d: bigint, n: int, k: bigint, x: int, y: int, z: int>"
 
 
 def paragraphs(text: Column) -> Column:
-    """Sorted distinct digests of the lines of a text, cut after every ``WORDS`` words."""
-    cut = F.regexp_replace(text, rf"((?:[^\s]++[ \t]++){{{WORDS - 1}}}[^\s]++)[ \t]++", "$1\n")
-    lines = F.filter(F.split(cut, "\n"), lambda line: F.trim(line) != "")
-    return F.array_sort(F.array_distinct(F.transform(lines, lambda line: F.xxhash64(line))))
+    """Sorted distinct digests of the lines of a text, cut after every ``WIDTH`` characters; blank pieces do not count."""
+
+    def pieces(line: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(line)), F.lit(WIDTH))
+        return F.when(F.length(line) <= WIDTH, F.array(line)).otherwise(F.transform(places, lambda at: F.substring(line, at, F.lit(WIDTH))))
+
+    lines = F.flatten(F.transform(F.split(text, "\n"), pieces))
+    full = F.filter(lines, lambda piece: F.trim(piece) != "")
+    return F.array_sort(F.array_distinct(F.transform(full, lambda piece: F.xxhash64(piece))))
 
 
 def _check(digest: Column) -> Column:
@@ -58,36 +69,23 @@ def _item(digest: Column, n: Column, cells: int) -> Column:
     return F.struct(digest.alias("d"), n.alias("n"), _check(digest).alias("k"), spot(0).alias("x"), spot(1).alias("y"), spot(2).alias("z"))
 
 
-def sketch_parts(digests: Column, sketches: Column) -> Column:
-    """The digests dealt into ``sketches`` lists."""
-    home = lambda d: F.pmod(F.shiftright(d, 7), sketches)
-    return F.transform(F.sequence(F.lit(0).cast("long"), sketches - 1), lambda s: F.filter(digests, lambda d: home(d) == s))
-
-
 def _into(items: Column, at: Column) -> Column:
     return F.filter(items, lambda i: (i["x"] == at) | (i["y"] == at) | (i["z"] == at))
 
 
-def cells_of(digests: Column, cells: int) -> Column:
-    """Cells of one sub-sketch: count, XOR of digests, XOR of checks."""
-    items = F.transform(digests, lambda d: _item(d, F.lit(1), cells))
+def cells_of(signed: Column, cells: int) -> Column:
+    """Cells of digests with signs (structs of d and n): sum of signs, XOR of digests, XOR of checks."""
+    items = F.transform(signed, lambda s: _item(s["d"], s["n"], cells))
 
-    def cell(at: Column) -> Column:
+    def cell(at: Column, items: Column) -> Column:
         return F.aggregate(
             _into(items, at),
             F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check")),
-            lambda c, i: F.struct((c["n"] + 1).alias("n"), c["key"].bitwiseXOR(i["d"]).alias("key"), c["check"].bitwiseXOR(i["k"]).alias("check")),
+            lambda c, i: F.struct((c["n"] + i["n"]).alias("n"), c["key"].bitwiseXOR(i["d"]).alias("key"), c["check"].bitwiseXOR(i["k"]).alias("check")),
         )
 
-    return F.transform(F.sequence(F.lit(0), F.lit(3 * cells - 1)), cell)
-
-
-def subtract(left: Column, right: Column) -> Column:
-    return F.zip_with(
-        left,
-        right,
-        lambda a, b: F.struct((a["n"] - b["n"]).alias("n"), a["key"].bitwiseXOR(b["key"]).alias("key"), a["check"].bitwiseXOR(b["check"]).alias("check")),
-    )
+    places = F.sequence(F.lit(0), F.lit(3 * cells - 1))
+    return F.transform(F.array(items), lambda items: F.transform(places, lambda at: cell(at, items)))[0]
 
 
 def peel(cells: Column, per_part: int, rounds: int = 8) -> Column:
@@ -113,45 +111,62 @@ def peel(cells: Column, per_part: int, rounds: int = 8) -> Column:
         return F.transform(table, cell)
 
     def step(state: Column, _: Column) -> Column:
-        found = pure(state["table"])
-        return F.when(F.size(found) == 0, state).otherwise(
-            F.transform(F.array(found), lambda f: F.struct(without(state["table"], f).alias("table"), F.concat(state["out"], f).alias("out")))[0]
-        )
+        def taken(found: Column) -> Column:
+            rest = F.struct(without(state["table"], found).alias("table"), F.concat(state["out"], found).alias("out"))
+            return F.when(F.size(found) == 0, state).otherwise(rest)
+
+        return F.transform(F.array(pure(state["table"])), taken)[0]
 
     end = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct(cells.alias("table"), nothing.alias("out")), step)
     clear = lambda table: ~F.exists(table, lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0))
     return F.transform(F.array(end), lambda e: F.struct(e["out"].alias("out"), clear(e["table"]).alias("clear")))[0]
 
 
-def differing(left: Column, right: Column, per_part: int) -> Column:
-    """How many digests are on one side only, by sketches of ``per_part`` cells a part; null if one cannot be peeled."""
-    sketches = F.greatest(F.lit(1), F.ceil(F.greatest(F.size(left), F.size(right)) / PER_SKETCH)).cast("long")
-
-    def one(a: Column, b: Column) -> Column:
-        peeled = F.transform(F.array(subtract(cells_of(a, per_part), cells_of(b, per_part))), lambda cells: peel(cells, per_part))[0]
-        size = F.transform(F.array(peeled), lambda p: F.when(p["clear"], F.size(p["out"])).otherwise(-1))[0]
-        return F.when(a == b, F.lit(0)).otherwise(size)
-
-    sizes = F.zip_with(sketch_parts(left, sketches), sketch_parts(right, sketches), one)
-    return F.aggregate(sizes, F.lit(0), lambda total, n: F.when((total < 0) | (n < 0), F.lit(-1)).otherwise(total + n), lambda total: F.when(total >= 0, total))
+def differing(signed: Column) -> Column:
+    """How many digests of a sub-sketch are on one side only; one that does not peel is sketched again, larger."""
+    one_side = lambda sign: F.transform(F.filter(signed, lambda s: s["n"] == sign), lambda s: s["d"])
+    count = F.size(F.array_except(one_side(1), one_side(-1))) + F.size(F.array_except(one_side(-1), one_side(1)))
 
+    def attempt(cells: int, larger: Column) -> Column:
+        return F.transform(F.array(peel(cells_of(signed, cells), cells)), lambda p: F.when(p["clear"], F.size(p["out"])).otherwise(larger))[0]
 
-def likeness(left: Column, right: Column) -> Column:
-    """Common digests by all digests of both sides; a pair whose sketches do not peel is sketched again, larger."""
-    exact = F.size(F.array_except(left, right)) + F.size(F.array_except(right, left))
-    count = F.coalesce(*(differing(left, right, cells) for cells in CELLS), exact)
-    total = F.size(left) + F.size(right)
-    share = F.transform(F.array(count), lambda n: ((total - n) / 2) / ((total - n) / 2 + n))[0]
-    return F.when(total == 0, F.lit(1.0)).otherwise(share)
+    for cells in reversed(CELLS):
+        count = attempt(cells, count)
+    return count
 
 
 def fingerprint(digests: Column) -> Column:
-    """SHA-256 of the text's own sketch at the smallest size."""
-    sketches = F.greatest(F.lit(1), F.ceil(F.size(digests) / PER_SKETCH)).cast("long")
-    cells = F.transform(sketch_parts(digests, sketches), lambda part: cells_of(part, CELLS[0]))
+    cells = cells_of(F.transform(digests, lambda d: F.struct(d.alias("d"), F.lit(1).alias("n"))), OWN_CELLS)
     return F.sha2(F.to_json(F.struct(cells.alias("cells"))), 256)
 
 
+def likeness(pairs: DataFrame, left: str, rights: list[str]) -> DataFrame:
+    """``key`` and one likeness for each column in ``rights``, which like ``left`` holds sorted digests: the common
+    digests by all digests of both sides. ``key`` is unique."""
+    sign = lambda name, n: F.transform(name, lambda d: F.struct(d.alias("d"), F.lit(n).alias("n")))
+    kinds = F.array(
+        *(
+            F.struct(F.lit(k).alias("kind"), F.greatest(F.lit(1), F.ceil(F.greatest(F.size(left), F.size(right)) / PER_SKETCH)).alias("sketches"), F.concat(sign(left, 1), sign(right, -1)).alias("signed"))
+            for k, right in enumerate(rights)
+        )
+    )
+    # Dealt by key once; the groups below are within a key, so nothing moves again.
+    dealt = pairs.select("key", left, *rights).repartition("key")
+    rows = dealt.select("key", F.inline(kinds)).select("key", "kind", "sketches", F.explode("signed").alias("item"))
+    part = F.pmod(F.shiftright("item.d", 7), F.col("sketches"))
+    sketches = rows.groupBy("key", "kind", part.alias("part")).agg(F.collect_list("item").alias("signed"))
+    counts = sketches.select("key", "kind", differing(F.col("signed")).alias("n"))
+    sums = counts.groupBy("key").agg(*(F.sum(F.when(F.col("kind") == k, F.col("n"))).alias(f"n_{k}") for k in range(len(rights))))
+
+    def share(k: int, right: str) -> Column:
+        total, n = F.col(f"size_{left}") + F.col(f"size_{right}"), F.coalesce(F.col(f"n_{k}"), F.lit(0))
+        common = (total - n) / 2
+        return F.when(total == 0, F.lit(1.0)).otherwise(common / (common + n)).alias(f"near_{right}")
+
+    sizes = pairs.select("key", *(F.size(c).alias(f"size_{c}") for c in (left, *rights)))
+    return sizes.join(sums, "key", "left").select("key", *(share(k, right) for k, right in enumerate(rights)))
+
+
 def with_next(df: DataFrame) -> DataFrame:
     """``df`` (id, text, digests) with the text and digests of the row that follows in descending order.
 
@@ -194,19 +209,23 @@ def compare_versions(df: DataFrame, id_column: str = "doc_id", text_column: str
     kept = F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 3) as int))")
     pairs = with_next(rows).withColumn("edited", F.concat(kept, F.substring(F.col("next.text"), F.lit(1), cut)))
     pairs = pairs.select(
+        F.monotonically_increasing_id().alias("key"),
         "id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        "digests",
-        paragraphs(F.col("edited")).alias("edited_digests"),
-        F.col("next.digests").alias("next_digests"),
+        F.col("digests").alias("own"),
+        paragraphs(F.col("edited")).alias("edited"),
+        F.col("next.digests").alias("next"),
     )
-    return pairs.select(
+    # Written, so that the keys stay what they are.
+    pairs = staged(pairs, "fingerprint-pairs")
+    near = likeness(pairs, "own", ["edited", "next"])
+    return pairs.join(near, "key").select(
         F.col("id").alias(id_column),
         "n_chars",
         "edited_sha256",
-        fingerprint(F.col("digests")).alias("fingerprint"),
-        fingerprint(F.col("edited_digests")).alias("edited_fingerprint"),
-        likeness(F.col("digests"), F.col("edited_digests")).alias("near_edited"),
-        likeness(F.col("digests"), F.col("next_digests")).alias("near_next"),
+        fingerprint(F.col("own")).alias("fingerprint"),
+        fingerprint(F.col("edited")).alias("edited_fingerprint"),
+        F.col("near_edited").alias("near_edited"),
+        F.col("near_next").alias("near_next"),
     )
