@@ -8,12 +8,14 @@ lie in pieces with equal anchors. So
 1. anchors are dealt out by their hash and those of a single document end there
    (of an anchor that a task sees in several documents two rows are enough to meet
    others, the rest are known to be shared);
-2. the pieces of the other anchors are cut out and equal ones become one, with
-   the smallest document that has it;
-3. pieces with one anchor meet, and an enhanced suffix array of them gives the
-   intervals of suffixes with a common prefix of at least ``min_length`` bytes.
-   A stack scan finds them; those whose suffixes have different bytes on the left
-   (or a piece's start) are the maximal repeat groups, with all occurrences;
+2. the pieces of the other anchors are placed: position, length and a hash. Where
+   all pieces of an anchor are equal, all but those of the smallest document are
+   repeats as a whole;
+3. of the rest, each distinct piece is cut out once. Pieces with one anchor meet,
+   and an enhanced suffix array of them gives the intervals of suffixes with a
+   common prefix of at least ``min_length`` bytes. A stack scan finds them; those
+   whose suffixes have different bytes on the left (or a piece's start) are the
+   maximal repeat groups, with all occurrences;
 4. each piece takes home the parts that start in a smaller document too.
 
 Texts are UTF-8 bytes and matches stay within a document. Defined results: null
@@ -26,7 +28,7 @@ gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import chunks
-from .common import column, staged, steps, strings, utf8, with_field
-from .words import mix
+from .common import column, discard, staged, steps, strings, utf8, with_field
+from .words import mix, span_hashes
 
 #: Bytes of an anchor. Shorter ones are fewer, but more of them are shared by chance.
 ANCHOR = 24
@@ -166,7 +168,7 @@ def _spans(contents: list[bytes], firsts: np.ndarray, lasts: np.ndarray, least:
     return result
 
 
-def repeated_spans(docs: DataFrame, min_length: int, checkpoint: Callable[[DataFrame, str], DataFrame] = staged) -> DataFrame:
+def repeated_spans(docs: DataFrame, min_length: int) -> DataFrame:
     """For ``row`` (a key of id and text), ``rank`` (the id to compare by) and ``text``: the byte spans of each row that
     are covered by windows which also start in a document of smaller rank, as ``row`` and lists ``starts`` and ``ends``."""
 
@@ -211,29 +213,59 @@ def repeated_spans(docs: DataFrame, min_length: int, checkpoint: Callable[[DataF
     asked = docs.where(F.octet_length("text") >= min_length).select("row", "rank", "text")
     found = asked.select("row", "text").mapInArrow(anchors, "route long, told long, row long")
     meeting = found.repartition("route").sortWithinPartitions("route", "told", "row")
-    keys = checkpoint(meeting.mapInArrow(shared, "row long, key long"), "repeat-anchors")
+    keys = staged(meeting.mapInArrow(shared, "row long, key long"), "repeat-anchors")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in steps(batches, "text"):
             data, bounds = utf8(column(part, "text"))
             text, start, end, key = pieces(data, bounds, min_length)
             wanted = np.unique(np.asarray(column(part, "keys").flatten()))
             on = np.isin(key.view(np.int64), wanted)
             text, start, end, key = text[on], start[on], end[on], key[on]
-            size = end - start
-            content = pa.Array.from_buffers(
-                pa.binary(), len(size), [None, pa.py_buffer(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.py_buffer(data[chunks.ragged(start, size)])]
-            )
+            piece = span_hashes(data, start, end)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), column(part, "row").take(pa.array(text)), column(part, "rank").take(pa.array(text)), pa.array((start - bounds[text]).astype(np.int32)), content],
-                names=["key", "row", "rank", "start", "content"],
+                [
+                    column(part, "row").take(pa.array(text)),
+                    column(part, "rank").take(pa.array(text)),
+                    pa.array((start - bounds[text]).astype(np.int32)),
+                    pa.array((end - start).astype(np.int32)),
+                    pa.array(key.view(np.int64)),
+                    pa.array(piece.view(np.int64)),
+                ],
+                names=["row", "rank", "start", "size", "key", "piece"],
             )
 
     per_row = keys.groupBy("row").agg(F.collect_set("key").alias("keys"))
-    once = asked.join(per_row, "row")
-    cut_out = once.mapInArrow(cut, "key long, row long, rank long, start int, content binary")
-    occurrences = checkpoint(cut_out.withColumn("piece", F.xxhash64("content")), "repeat-pieces")
-    distinct = occurrences.groupBy("key", "piece").agg(F.min("rank").alias("first"), F.max("rank").alias("last"), F.first("content").alias("content"))
+    found = asked.join(per_row, "row").mapInArrow(placed, "row long, rank long, start int, size int, key long, piece long")
+    occurrences = staged(found, "repeat-pieces")
+    discard(keys)
+    groups = occurrences.groupBy("key").agg(
+        F.min("rank").alias("first"), F.max("rank").alias("last"), (F.min("piece") != F.max("piece")).alias("mixed")
+    )
+    groups = groups.where("first < last").select("key", "first", "mixed")
+    open_ = staged(occurrences.join(groups, "key").where("mixed OR rank > first"), "repeat-open")
+    discard(occurrences)
+    mixed = open_.where("mixed").drop("mixed", "first")
+    distinct = mixed.groupBy("key", "piece").agg(
+        F.min("rank").alias("first"), F.max("rank").alias("last"), F.min(F.struct("row", "start", "size")).alias("at")
+    )
+    place = F.struct("at.start", "at.size", "key", "piece", "first", "last")
+    wanted = staged(distinct.groupBy("at.row").agg(F.collect_list(place).alias("places")), "repeat-places")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in steps(batches, "text"):
+            data, bounds = utf8(column(part, "text"))
+            places = column(part, "places")
+            flat = places.flatten()
+            text = np.repeat(np.arange(part.num_rows), np.asarray(places.value_lengths()))
+            start, size = flat.field("start").to_numpy() + bounds[text], flat.field("size").to_numpy().astype(np.int64)
+            content = pa.Array.from_buffers(
+                pa.binary(), len(size), [None, pa.py_buffer(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.py_buffer(data[chunks.ragged(start, size)])]
+            )
+            names = ["key", "piece", "first", "last"]
+            yield pa.RecordBatch.from_arrays([*(flat.field(c) for c in names), content], names=[*names, "content"])
+
+    contents = asked.select("row", "text").join(wanted, "row").mapInArrow(cut, "key long, piece long, first long, last long, content binary")
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -269,12 +301,11 @@ def repeated_spans(docs: DataFrame, min_length: int, checkpoint: Callable[[DataF
         if held:
             yield flush(pa.Table.from_batches(held))
 
-    meeting = distinct.repartition("key").sortWithinPartitions("key", "piece")
+    meeting = contents.repartition("key").sortWithinPartitions("key", "piece")
     parts = meeting.mapInArrow(arrays, "key long, piece long, parts array<struct<a: int, b: int, d: long>>")
     smaller = F.filter("parts", lambda p: p["d"] < F.col("rank"))
-    return (
-        occurrences.select("key", "piece", "row", "rank", "start")
-        .join(checkpoint(parts, "repeat-parts"), ["key", "piece"])
+    partly = (
+        mixed.join(staged(parts, "repeat-parts"), ["key", "piece"])
         .select("row", "start", smaller.alias("parts"))
         .where(F.size("parts") > 0)
         .select(
@@ -282,9 +313,13 @@ def repeated_spans(docs: DataFrame, min_length: int, checkpoint: Callable[[DataF
             F.transform("parts", lambda p: p["a"] + F.col("start")).alias("starts"),
             F.transform("parts", lambda p: p["b"] + F.col("start")).alias("ends"),
         )
-        .groupBy("row")
-        .agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
     )
+    whole = open_.where("NOT mixed").select("row", F.array("start").alias("starts"), F.array(F.col("start") + F.col("size")).alias("ends"))
+    spans = partly.unionByName(whole).groupBy("row")
+    result = staged(spans.agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends")), "repeat-spans")
+    for used in (open_, wanted):
+        discard(used)
+    return result
 
 
 def _keyed(df: DataFrame, id_column: str, text_column: str) -> tuple[Column, Column, Column]:
@@ -311,7 +346,7 @@ def _kept(text: bytes, starts: list[int] | None, ends: list[int] | None) -> tupl
 def repeat_digests(df: DataFrame, min_length: int = 50, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: its id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` of the bytes left."""
     keyed = df.select(df[id_column].alias("id"), *_keyed(df, id_column, text_column))
-    spans = staged(repeated_spans(keyed.select("row", "rank", "text"), min_length), "repeat-spans")
+    spans = repeated_spans(keyed.select("row", "rank", "text"), min_length)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in steps(batches, "text"):
@@ -338,7 +373,7 @@ def without_repeats(df: DataFrame, min_length: int, id_column: str = "doc_id", t
     """
     columns = df.columns
     row, rank, text = _keyed(df, id_column, text_column)
-    spans = staged(repeated_spans(df.select(row, rank, text), min_length), "repeat-spans")
+    spans = repeated_spans(df.select(row, rank, text), min_length)
     packed = df.select(row, F.struct(*(df[c] for c in columns)).alias("own"), df[text_column].alias("text"))
     joined = packed.join(spans, "row", "left").select("own", "text", "starts", "ends")
 
