@@ -14,7 +14,8 @@ at least ``percent`` / 100. The join is exact (up to equal 64-bit hashes):
    by tile, only classes of different components and of sizes that can link.
    Bitmaps of hashed shingles, with widths by size band, bound the overlap from
    above by bit counts; what passes is settled by intersecting the sorted sets. A
-   tile returns the links that join components, no more than it has classes.
+   set of classes that passes is settled once, under whatever keys it met, and returns
+   the links that join components, no more than it has classes.
 
 Defined results: null, empty and blank texts have an empty set and link with
 nothing. A null id takes part and is never the component's id unless all are
@@ -40,8 +41,10 @@ TILE = 2048
 FREQUENT_SHINGLES = 200_000
 #: A task lists a shingle that this many documents of a step have.
 FREQUENT_IN_STEP = 4
-#: Bits of a bitmap per shingle before rounding up to a power of two, and the widest bitmap.
-BITS_PER_SHINGLE, WIDEST = 8, 1 << 15
+#: Bits of a bitmap per shingle before rounding up to a power of two. Two turn away sets of which less than about
+#: half is common and are what travels; next to the sets themselves finer ones cost nothing.
+BITS_PER_SHINGLE, FINE_BITS = 2, 16
+WIDEST = 1 << 16
 
 
 def _digest(shingles: np.ndarray) -> int:
@@ -52,10 +55,10 @@ def _digest(shingles: np.ndarray) -> int:
     return int(mix(parts * np.array([1, 2 * len(shingles) + 1], np.uint64)).sum(keepdims=True).view(np.int64)[0])
 
 
-def bitmap(shingles: np.ndarray) -> np.ndarray:
+def bitmap(shingles: np.ndarray, per_shingle: int = BITS_PER_SHINGLE) -> np.ndarray:
     """64-bit words of a bitmap whose width depends on the size band."""
     width = 64
-    while width < min(WIDEST, BITS_PER_SHINGLE * len(shingles)):
+    while width < min(WIDEST, per_shingle * len(shingles)):
         width *= 2
     bits = np.zeros(width, np.uint8)
     bits[(shingles >> np.uint64(20)).astype(np.int64) & (width - 1)] = 1
@@ -296,7 +299,7 @@ class _Join:
         rows = rows.withColumn("other", F.explode(others)).select(
             "key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "cls", "n", "pos", "label", "tile"
         )
-        schema = "key long, i int, j int, cls long, n int, pos int, label long, tile int"
+        schema = "team long, cls long, n int, label long"
 
         def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for group in _groups(batches, ["key", "i", "j"]):
@@ -305,10 +308,13 @@ class _Join:
                 for a, b in tile_pairs(*_sides(group), maps, percent):
                     found[a] = found[b] = True
                 if found.any():
-                    yield from group.drop_columns(["bits"]).filter(pa.array(found)).to_batches()
+                    # Two that are close meet under many keys: equal teams are one.
+                    team = group.select(["cls", "n", "label"]).filter(pa.array(found)).combine_chunks()
+                    name = np.full(team.num_rows, _digest(np.sort(team["cls"].to_numpy().view(np.uint64))))
+                    yield from team.add_column(0, "team", pa.array(name)).to_batches()
 
         def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for group in _groups(batches, ["key", "i", "j"]):
+            for group in _groups(batches, ["team"]):
                 sets = [np.frombuffer(b, np.uint64) for b in group["shingles"].to_pylist()]
                 cls, label = group["cls"].to_numpy(), group["label"].to_numpy()
                 above = {x: x for x in label.tolist()}
@@ -320,7 +326,9 @@ class _Join:
                     return x
 
                 out = []
-                for left, right in tile_pairs(*_sides(group), [bitmap(s) for s in sets], percent):
+                # The place of a key does not matter any more, nor do sides.
+                n, same = np.array([len(s) for s in sets]), np.full(len(sets), 2)
+                for left, right in tile_pairs(n, 0 * n, label, same, [bitmap(s, FINE_BITS) for s in sets], percent):
                     for a, b in zip(left.tolist(), right.tolist(), strict=True):
                         x, y = top(int(label[a])), top(int(label[b]))
                         if x != y:
@@ -332,9 +340,11 @@ class _Join:
 
         maps = summaries.groupBy("cls").agg(F.first("bits").alias("bits"))
         ordered = lambda df: df.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "cls")
-        likely = staged(ordered(rows.join(maps, "cls").select(*rows.columns, "bits")).mapInArrow(candidates, schema), "ngram-tiles")
+        likely = ordered(rows.join(maps, "cls").select(*rows.columns, "bits")).mapInArrow(candidates, schema)
+        likely = staged(likely.dropDuplicates(["team", "cls"]), "ngram-teams")
         sets = self.sets(likely.select("cls"), summaries)
-        return staged(ordered(likely.join(sets, "cls").select(*rows.columns, "shingles")).mapInArrow(links, "a long, b long"), "ngram-tile-links")
+        teams = likely.join(sets, "cls").repartition("team").sortWithinPartitions("team", "n", "cls")
+        return staged(teams.mapInArrow(links, "a long, b long"), "ngram-tile-links")
 
 
 def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
