@@ -266,3 +266,20 @@ def test_rules_and_templates(spark):
     ]
     many = spark.range(40).select("id", F.concat(F.lit("http://casino-x.example.com/en/"), "id").alias("url"))
     assert {r.verdict for r in url_filters.judge_urls(many, id_column="id").collect()} == {"block"}
+
+
+def test_licence_notices_over_lines(spark):
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met:\n# 1. Redistributions of source code"
+    gpl = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version {} of the License, or
+ * (at your option) any later version."""
+    mit = "MIT License\n\nCopyright (c) the authors\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction"
+    inside = "words before it say that all of this was " + "Licensed under the Apache License, Version 2.0, and so on without any break " + "word " * 40
+    two = "Released under the MIT License. Licensed under CC BY 4.0."
+    texts = {"a/x.py": bsd + "\ncode" * 300, "b/x.c": gpl.format(3), "c/x.c": gpl.format(2), "d/LICENSE": mit + " other" * 400, "d/e/y.c": "int main;", "f/z": inside, "g/z": two, "h/z": "free software and a license\nto use the work"}
+    rows = [(k, path, text) for k, (path, text) in enumerate(texts.items())]
+    found = {r.path: r for r in licenses.scan_licenses(spark.createDataFrame(rows + rows[:1], "doc_id long, path string, text string")).collect()}
+    own = {path: r.licenses for path, r in found.items()}
+    assert own == {"a/x.py": ["BSD-3-Clause"], "b/x.c": ["GPL-3.0"], "c/x.c": ["GPL-2.0"], "d/LICENSE": ["MIT"], "d/e/y.c": [], "f/z": ["Apache-2.0"], "g/z": ["CC-BY-4.0", "MIT"], "h/z": []}
+    assert (found["a/x.py"].origin, found["d/LICENSE"].origin, found["d/e/y.c"].origin, found["d/e/y.c"].license) == ("header", "file", "inherited", "MIT")

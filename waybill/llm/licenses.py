@@ -1,25 +1,30 @@
-"""Licence scans: sparse TF-IDF cosine of lines to licence templates, then inheritance along directories.
-
-Every line of every text is a vector of its words; so is every template. Weights
-are term frequency times inverse document frequency. Words outside the templates
-weigh like a word of a single document, so prose around a notice counts against
-it. A line whose cosine to a template reaches ``THRESHOLD`` carries that licence.
-
-Lines are first narrowed down without loss: per template, its lightest words
-together are shorter than the threshold share of its length, so by the
-Cauchy-Schwarz inequality a line without any of the other words cannot reach it.
-
-A document whose licence lines make up ``FILE_SHARE`` of its words is a licence
-file of its directory; otherwise the line is a header of the document alone. A
-document without a licence of its own takes the one of the nearest directory
-above it that has a licence file, found by joining ancestors of the distinct
-directories. DataFrame functions only.
-
-Defined results: null and empty texts have no licence lines but inherit. A null
-path is a directory of its own without ancestors. Of several licences in a
-document the highest cosine wins, then the smallest name; of several files in a
-directory likewise, then the smallest id. Repeated rows give repeated results, an
-empty table no rows.
+"""Licence scans: sparse TF-IDF cosine of runs of words to licence templates, then inheritance along directories.
+
+A text is a row of words whatever its line breaks and comment marks, so a notice
+may be wrapped, stand inside a longer line or in a text without lines. Every run
+of words of up to ``LONGEST`` times a template's words that starts and ends with a
+word of the template is compared with it (a run that does not has a shorter one
+with a higher cosine). Weights are term frequency times inverse document
+frequency; words outside the templates weigh like a word of a single document. A
+run whose cosine reaches ``THRESHOLD`` is a notice. Of notices that overlap in a
+text the one with the highest cosine stays.
+
+Runs are first narrowed down without loss. By the Cauchy-Schwarz inequality the
+words of a template that a run holds must have the threshold's share of its
+length; a text without them is out, then a place without them within reach, then
+a run whose dot product is too small for the least its own length can be.
+
+A document whose notices make up ``FILE_SHARE`` of its words, or with a notice and
+a name like LICENSE or COPYING, is a licence file of its directory; otherwise the
+notice is a header of the document alone. A document without a licence of its own
+takes the one of the nearest directory above it that has a licence file, found by
+joining ancestors of the distinct directories. DataFrame functions only.
+
+Defined results: null and empty texts have no notices but inherit. A null path is
+a directory of its own without ancestors. Of several licences in a document the
+highest cosine wins, then the smallest name; of several files in a directory
+likewise, then the smallest id. Repeated rows give repeated results, an empty
+table no rows.
 """
 
 from __future__ import annotations
@@ -47,9 +52,24 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    # The usual headers and titles: without them a run over wrapped lines would take one version for another.
+    ("GPL-2.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
 ]
 THRESHOLD = 0.8
 FILE_SHARE = 0.25
+#: Words of the longest run compared with a template, in words of the template.
+LONGEST = 1.5
+#: Names of licence files, in lower case.
+FILE_NAMES = "^(un)?(licen[cs]e|copying)s?([._-].*)?$"
 
 
 def words(text: Column) -> Column:
@@ -86,8 +106,8 @@ def deciding_words(weights: list[dict[str, float]], threshold: float) -> list[st
     return sorted(found)
 
 
-def license_lines(df: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(row, n_words of the line, license, score) of every line of ``df`` (row, text) that carries a licence."""
+def license_notices(df: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """(row, n_words, license, score) of every notice in ``df`` (row, text), none of them overlapping."""
     spark = df.sparkSession
     vocabulary = sorted({w for _, text in templates for w in _template_words(text)})
     listed = F.array(*map(F.lit, vocabulary))
@@ -99,31 +119,84 @@ def license_lines(df: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, t
     rare = inverse_frequency(rows, 1)
     weights = [_weights(text, idf) for _, text in templates]
     deciding = deciding_words(weights, threshold)
+    reach = [int(LONGEST * len(_template_words(text))) for _, text in templates]
     table = spark.createDataFrame(
-        [(k, license, word, idf[word], weight) for k, ((license, _), own) in enumerate(zip(templates, weights, strict=True)) for word, weight in own.items()],
-        "template int, license string, word string, idf double, weight double",
+        [(k, license, word, idf[word], weight, reach[k]) for k, ((license, _), own) in enumerate(zip(templates, weights, strict=True)) for word, weight in own.items()],
+        "template int, license string, word string, idf double, weight double, reach int",
     )
     known = spark.createDataFrame([(w, idf[w]) for w in vocabulary], "word string, idf double")
+    enough = threshold * threshold - 1e-9
+
+    # Texts that hold enough of a template, with those templates.
+    # The explodes of one value keep Spark from working the words out anew wherever they are named.
+    texts = df.select("row", F.explode(F.array(words(F.col("text")))).alias("words")).where(F.arrays_overlap("words", F.array(*map(F.lit, deciding))))
+    texts = texts.select("row", "words", F.explode(F.array(F.array_intersect("words", listed))).alias("held"))
+    masses = F.array(
+        *(
+            F.struct(F.lit(k).alias("k"), F.array(*(F.struct(F.lit(w).alias("w"), F.lit(x * x).alias("m")) for w, x in own.items())).alias("own"))
+            for k, own in enumerate(weights)
+        )
+    )
+    held = lambda t: F.aggregate(t["own"], F.lit(0.0), lambda s, x: s + F.when(F.array_contains(F.col("held"), x["w"]), x["m"]).otherwise(0.0))
+    fits = F.transform(F.filter(masses, lambda t: held(t) >= enough), lambda t: t["k"])
+    texts = texts.select("row", "words", F.explode(F.array(fits)).alias("fits")).where(F.size("fits") > 0)
+    texts = staged(texts.select("row", "words", "fits").dropDuplicates(["row"]), "license-texts")
+
+    # Words of a template in place; ``load`` is the least squared length that the text has up to there.
+    places = texts.select("row", "fits", F.posexplode("words").alias("pos", "word")).join(F.broadcast(known), "word")
+    order = "PARTITION BY row ORDER BY pos"
+    places = places.withColumn(
+        "load", F.expr(f"sum(idf * idf) OVER ({order}) + (pos + 1 - row_number() OVER ({order})) * {rare * rare!r}D")
+    ).drop("idf")
+    placed = places.join(F.broadcast(table), "word").where(F.array_contains("fits", F.col("template")))
+    placed = placed.select(
+        "row", "template", "license", "pos", "load", "reach", (F.col("idf") * F.col("weight")).alias("dot"),
+        (F.col("weight") * F.col("weight")).alias("mass"), (F.col("idf") * F.col("idf")).alias("own"), (F.col("pos") / F.col("reach")).alias("scaled"),
+    )
+    ahead = "OVER (PARTITION BY row, template ORDER BY scaled RANGE BETWEEN CURRENT ROW AND 1D FOLLOWING)"
+    upto = "sum(dot) OVER (PARTITION BY row, template ORDER BY scaled)"
+    placed = placed.withColumns({"near": F.expr(f"sum(mass) {ahead}"), "dots": F.expr(upto)})
+    # Only few places have enough of the template ahead; they look at the ends within reach.
+    placed = placed.withColumn("ends", F.expr(f"collect_list(struct(pos, load, dots)) {ahead}")).where(F.col("near") >= enough)
+    runs = placed.select(
+        "row", "template", "license", "reach", F.col("pos").alias("start"), (F.col("load") - F.col("own")).alias("load0"), (F.col("dots") - F.col("dot")).alias("dots0"),
+        F.explode("ends").alias("end"),
+    ).where("end.pos < start + reach")
+    runs = runs.where((F.col("end.dots") - F.col("dots0") + 1e-9) >= threshold * F.sqrt(F.col("end.load") - F.col("load0")))
+    per_row = runs.groupBy("row").agg(F.collect_list(F.struct("template", "license", "start", F.col("end.pos").alias("stop"))).alias("runs"))
+    cut = texts.join(per_row, "row").select("row", "words", F.explode("runs").alias("run"))
+    cut = cut.select("row", "run.*", F.slice("words", F.col("run.start") + 1, F.col("run.stop") - F.col("run.start") + 1).alias("words"))
+    cut = staged(cut.withColumn("id", F.xxhash64("words")), "license-runs")
 
-    lines = df.select("row", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    lines = lines.withColumn("words", words(F.col("content"))).where(F.arrays_overlap("words", F.array(*map(F.lit, deciding))))
     # Distinct contents once: a notice that a third of the corpus carries is scored once per task and then once.
-    contents = lines.select(F.xxhash64("content").alias("id"), "words").groupBy("id").agg(F.first("words").alias("words"))
-    terms = contents.select("id", F.size("words").alias("n_words"), F.explode("words").alias("word")).groupBy("id", "n_words", "word").agg(F.count("*").alias("tf"))
+    contents = cut.groupBy("id").agg(F.first("words").alias("words"))
+    terms = contents.select("id", F.explode("words").alias("word")).groupBy("id", "word").agg(F.count("*").alias("tf"))
     norms = (
         terms.join(F.broadcast(known), "word", "left")
-        .groupBy("id", "n_words")
+        .groupBy("id")
         .agg(F.sqrt(F.sum((F.col("tf") * F.coalesce("idf", F.lit(rare))) ** 2)).alias("norm"))
     )
     dots = (
         terms.join(F.broadcast(table), "word")
-        .groupBy("id", "template", "license")
+        .groupBy("id", "template")
         .agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"))
     )
     scored = dots.join(norms, "id").withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= threshold)
-    best = scored.groupBy("id", "n_words").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("best"))
-    best = best.select("id", "n_words", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score"))
-    return lines.select("row", F.xxhash64("content").alias("id")).join(best, "id").select("row", "n_words", "license", "score")
+    found = cut.select("row", "template", "license", "start", "stop", "id").join(scored.select("id", "template", "score"), ["id", "template"])
+    # Per licence and start the best; then, in each stretch of overlapping notices, the best of all goes first and bars what it meets.
+    rank = F.struct((-F.col("score")).alias("minus"), (F.col("start") - F.col("stop")).alias("shorter"), "license", "start", "stop")
+    best = found.groupBy("row", "license", "start").agg(F.min(rank).alias("notice")).select("row", "notice")
+    before = "OVER (PARTITION BY row ORDER BY notice.start, notice.license ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    best = best.withColumn("fresh", F.expr(f"CASE WHEN notice.start > max(notice.stop) {before} THEN 1 ELSE 0 END"))
+    best = best.withColumn("stretch", F.expr("sum(fresh) OVER (PARTITION BY row ORDER BY notice.start, notice.license)"))
+    kind = best.schema["notice"].dataType.simpleString()
+    taken = F.aggregate(
+        F.array_sort(F.collect_list("notice")),
+        F.array().cast(f"array<{kind}>"),
+        lambda kept, x: F.when(F.exists(kept, lambda k: (k["start"] <= x["stop"]) & (x["start"] <= k["stop"])), kept).otherwise(F.concat(kept, F.array(x))),
+    )
+    kept = best.groupBy("row", "stretch").agg(taken.alias("kept")).select("row", F.explode("kept").alias("x"))
+    return kept.select("row", (F.col("x.stop") - F.col("x.start") + 1).alias("n_words"), "x.license", (-F.col("x.minus")).alias("score"))
 
 
 def scan_licenses(
@@ -141,15 +214,16 @@ def scan_licenses(
     docs = df.select(
         df[id_column].alias("id"), df[path_column].alias("path"), text.alias("text"), F.xxhash64(df[id_column], df[path_column], text).alias("row")
     )
-    found = staged(license_lines(docs.select("row", "text"), templates, threshold), "license-lines")
+    found = staged(license_notices(docs.select("row", "text"), templates, threshold), "license-notices")
     own = found.groupBy("row").agg(
         F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("best"),
         F.sum("n_words").alias("license_words"),
         F.array_sort(F.collect_set("license")).alias("licenses"),
     )
     counted = docs.select("id", "path", "row", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("dir"), F.size(words(F.col("text"))).alias("n_words"))
+    named = F.lower(F.regexp_extract("path", "([^/]*)$", 1)).rlike(FILE_NAMES)
     marked = staged(counted.join(own, "row", "left"), "license-rows").withColumn(
-        "is_file", F.coalesce(F.col("license_words") >= file_share * F.col("n_words"), F.lit(False))
+        "is_file", F.coalesce((F.col("license_words") >= file_share * F.col("n_words")) | (F.col("best").isNotNull() & named), F.lit(False))
     )
     files = (
         marked.where("is_file AND path IS NOT NULL")
