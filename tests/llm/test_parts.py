@@ -283,3 +283,19 @@ def test_licence_notices_over_lines(spark):
     own = {path: r.licenses for path, r in found.items()}
     assert own == {"a/x.py": ["BSD-3-Clause"], "b/x.c": ["GPL-3.0"], "c/x.c": ["GPL-2.0"], "d/LICENSE": ["MIT"], "d/e/y.c": [], "f/z": ["Apache-2.0"], "g/z": ["CC-BY-4.0", "MIT"], "h/z": []}
     assert (found["a/x.py"].origin, found["d/LICENSE"].origin, found["d/e/y.c"].origin, found["d/e/y.c"].license) == ("header", "file", "inherited", "MIT")
+
+
+def test_page_text_is_whole():
+    long, short = "A sentence of the story, as long as such are. " * 18, "A shorter part, which belongs to it as well."
+    long = long.strip()
+    page = "<body><nav>Menu</nav>{}<footer>End</footer></body>"
+    # A title and a note beside the inner main element.
+    inner = f'<article><h1>Title</h1><div class="post-content"><p>{long}</p></div><p>{short}</p></article>'
+    assert html_extract.main_text(page.format(inner)) == f"Title\n{long}\n{short}"
+    # Without marks: paragraphs of unlike length, a heading, and blocks of low score.
+    assert html_extract.main_text(page.format(f"<div><p>{long}</p><p>{short}</p></div>")) == f"{long}\n{short}"
+    assert html_extract.main_text(page.format(f"<div><h2>Head</h2><p>{long}</p><ul><li>One</li></ul><p>{short}</p></div>")) == f"Head\n{long}\nOne\n{short}"
+    assert html_extract.main_text(page.format(f"<div><h2>Head</h2><p>{long}</p></div>")) == f"Head\n{long}"
+    # Two posts.
+    two = f'<div class="post"><p>{long}</p></div><div class="post"><p>{long} Again.</p></div>'
+    assert html_extract.main_text(page.format(two)) == f"{long}\n{long} Again."

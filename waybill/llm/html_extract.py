@@ -4,9 +4,11 @@ Per page, the text is cut into blocks, each with its path of tags from the root.
 Text length and punctuation marks are added up per path and divided by the
 path's blocks; both ratios are smoothed over neighbouring blocks, multiplied
 into one score, and paths at or above a share of the page's mean score count as
-content. The element that holds most of the content is the article, and all its
-blocks that are not page furniture (menus, adverts, forms, comments and so on,
-told by tag, role, class or id) are the text.
+content. Where elements marked as main hold half of the content or more, the
+outermost of them are the article; else it is the innermost element around all
+content, or its parent if that is a single block. All blocks of the article that
+are not page furniture (menus, adverts, forms, comments and so on, told by tag,
+role, class or id) are the text.
 
 Defined results: null and empty pages, and pages without content, give an empty
 text. Pages are independent of each other, so repeated rows give repeated
@@ -221,29 +223,23 @@ def main_text(page: str | None) -> str:
                 up = up.parent
     if not total:
         return ""
-    # The deepest element with most of the content; an element marked as the article needs only half of it.
-    best, chosen = None, 0
-    for block in blocks:
-        up, above = block.element, 0
-        chain = []
+    def chain(block: Block) -> list[Element]:
+        """The block's elements from the root down."""
+        found, up = [], block.element
         while up:
-            chain.append(up)
+            found.append(up)
             up = up.parent
-        for above, element in enumerate(reversed(chain)):
-            enough = 0.5 if element.main else 0.75
-            if element.mass >= enough * total and (best is None or (element.main, above) > (best.main, chosen)):
-                best, chosen = element, above
+        return found[::-1]
 
-    def inside(element: Element | None) -> bool:
-        while element and element is not best:
-            element = element.parent
-        return element is best
-
-    kept = []
-    for block, text in zip(blocks, texts, strict=True):
-        if not block.element.furniture and inside(block.element) and (best.main or block.path in content):
-            kept.append(text)
-    return "\n".join(kept)
+    plain = [(chain(block), block.path in content, text) for block, text in zip(blocks, texts, strict=True) if not block.element.furniture]
+    marked = [any(e.main for e in above) for above, _, _ in plain]
+    if sum(len(text) for (_, chosen, text), main in zip(plain, marked, strict=True) if chosen and main) >= 0.5 * total:
+        return "\n".join(text for (_, _, text), main in zip(plain, marked, strict=True) if main)
+    # All content is in the elements with the whole mass; the innermost must be more than one block.
+    whole = next([e for e in above if e.mass >= total] for above, chosen, _ in plain if chosen)
+    if len(whole) > 1 and sum(any(e is whole[-1] for e in above) for above, _, _ in plain) == 1:
+        whole.pop()
+    return "\n".join(text for above, _, text in plain if len(above) >= len(whole) and above[len(whole) - 1] is whole[-1])
 
 
 def extract_main_text(df: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
