@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, html_extract, licenses, ngram_join, repeats, sentencepiece_codec, token_counts, toxicity, url_filters
+from . import collocations, decontaminate, fingerprints, html_extract, licenses, ngram_join, ranked_search, repeats, sentencepiece_codec, token_counts, toxicity, url_filters
 from .common import table
 
 #: Folder of public vocabulary files.
@@ -65,10 +65,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(docs.select("doc_id", path.alias("path"), "text"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_url_filters, op2_ngram_join, op3_decontamination, op4_sentencepiece, op5_html_extraction, op6_toxicity, op7_token_counts, op8_fingerprints, op9_repeats, op10_licenses]
+    named = [op1_url_filters, op2_ngram_join, op3_decontamination, op4_sentencepiece, op5_html_extraction, op6_toxicity, op7_token_counts, op8_fingerprints, op9_repeats, op10_licenses, op11_ranked_search, op12_collocations]
     return {query.__name__: query for query in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": url_filters.judge_urls_sql()}
+    return {"op1_url_filters": url_filters.judge_urls_sql(), "op11_ranked_search": ranked_search.rank_documents_sql(), "op12_collocations": collocations.collocations_sql()}

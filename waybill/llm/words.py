@@ -41,13 +41,16 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and text number of each word; words are split at 0x20 and 0x09-0x0D and at the ends of texts."""
+def spans(data: np.ndarray, bounds: np.ndarray, word: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of each word; words are split at the ends of texts and at 0x20 and 0x09-0x0D.
+
+    ``word`` tells for each byte whether it belongs to a word, where other bytes are to split.
+    """
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return none, none, none
-    word = ~_SPACE[data]
+    word = ~_SPACE[data] if word is None else word
     cut = np.zeros(n + 1, bool)
     cut[bounds] = True
     before = np.empty(n, bool)
