@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, decontaminate, fingerprints, html_extract, licenses, ngram_join, ranked_search, repeats, sentencepiece_codec, token_counts, toxicity, url_filters
+from . import collocations, decontaminate, fingerprints, html_extract, interpolated_lm, licenses, ngram_join, ranked_search, repeats, sentencepiece_codec, token_counts, toxicity, url_filters
 from .common import table
 
 #: Folder of public vocabulary files.
@@ -73,8 +73,12 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_url_filters, op2_ngram_join, op3_decontamination, op4_sentencepiece, op5_html_extraction, op6_toxicity, op7_token_counts, op8_fingerprints, op9_repeats, op10_licenses, op11_ranked_search, op12_collocations]
+    named = [op1_url_filters, op2_ngram_join, op3_decontamination, op4_sentencepiece, op5_html_extraction, op6_toxicity, op7_token_counts, op8_fingerprints, op9_repeats, op10_licenses, op11_ranked_search, op12_collocations, op13_lm_scores]
     return {query.__name__: query for query in named}
 
 
