@@ -12,6 +12,7 @@ EAGER = {name for name in catalog.queries() if name.startswith("stream_")} | {
     "text_log_files", "legacy_log_files", "location_files", "activity_text_files", "record_files",
     "package_table_truncate", "count_table_append", "routed_lines", "several_sinks",
     "invalid_line_metric", "location_report_text", "records_and_rejects_text", "old_new_text",
+    "partitions_from_one_pass", "activity_numbered_with_calls", "package_table_replaced",
 }
 
 
@@ -131,3 +132,12 @@ def test_report_events_are_not_shuffled(activity):
     assert shuffles(frames) == 4
     assert "Scan text" in events or "FileScan text" in events
     assert shuffles(events) == 0
+
+
+def test_staged_parts_are_one_pass_and_read_their_own_folder(spark, activity, tmp_path):
+    parted = combine.old_new_trucks(activity)
+    assert plan_of(parted).count("RLIKE") == 1
+    for i, part in enumerate(combine.staged_partitions(parted, 2, str(tmp_path / "parts"))):
+        plan = plan_of(part)
+        assert "RLIKE" not in plan and "part#" in plan and f"= {i})" in plan.split("PartitionFilters")[1]
+        assert shuffles(plan) == 0

@@ -114,3 +114,36 @@ def test_scratch_paths(spark):
     assert len(paths) == 3
     shared = spark.conf.get("spark.checkpoint.dir")
     assert all(p.startswith(shared + "/x-") for p in paths)
+
+
+def broken(df):
+    return df.withColumn("location", F.when(F.col("truckId") < 0, F.col("location")).otherwise(F.raise_error(F.lit("broken off")).cast("string")))
+
+
+def test_a_failing_replacement_leaves_the_table_whole(spark, activity, tmp_path):
+    from waybill.operators import records
+    from waybill.sources import files
+
+    table = records.to_package_table(activity)
+    sources.write_table(table, PACKAGE_TABLE, "truncate", table="kept_info")
+    planned = spark.table("kept_info")
+    old = sources.replace_table(table.where("location = 'AK'"), "kept_info")
+    assert planned.count() == table.count()  # who has planned reads on
+    assert spark.table("kept_info").count() == table.where("location = 'AK'").count()
+    files.remove(spark, old)
+    with pytest.raises(Exception, match="broken off"):
+        sources.write_table(broken(table), PACKAGE_TABLE, "truncate", table="kept_info")
+    assert spark.table("kept_info").count() == table.where("location = 'AK'").count()
+    sources.write_table(table, PACKAGE_TABLE, "append", table="kept_info")
+    assert spark.table("kept_info").count() == table.count() + table.where("location = 'AK'").count()
+    spark.sql("DROP TABLE kept_info")
+    path = str(tmp_path / "files")
+    sources.write_table(table, PACKAGE_TABLE, "truncate", path=path)
+    with pytest.raises(Exception, match="broken off"):
+        sources.write_table(broken(table), PACKAGE_TABLE, "truncate", path=path)
+    assert spark.read.parquet(path).count() == table.count()
+    sources.write_table(table.limit(0), PACKAGE_TABLE, "truncate", path=path)
+    assert spark.read.parquet(path).count() == 0
+    assert [p.name for p in tmp_path.iterdir()] == ["files"]  # nothing is left beside it
+    with pytest.raises(ValueError, match="disposition"):
+        sources.write_table(table, PACKAGE_TABLE, "merge", path=path)

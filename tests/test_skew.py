@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from waybill.operators import aggregates, locations
+from waybill.operators import aggregates, bags, locations
 
 
 def test_truck_text_divides_a_busy_truck(spark):
@@ -67,3 +67,38 @@ def test_keys_of_any_kind_survive_the_join(spark):
     calls = spark.createDataFrame([("", 1), ("B", 2)], "location string, call_epoch long")
     rows = locations.location_activity_with_calls(activity, calls).collect()
     assert {tuple(r) for r in rows} == {("", 1, 1, 1), (None, 1, 0, 0), ("A", 1, 1, 0), ("B", 0, 0, 1)}
+
+
+def test_bags_divide_a_busy_key_and_carry_their_numbers(spark):
+    """One key has nine tenths of both sides, half of it copies of one row; another key is NULL."""
+    n = 6000
+    key = F.when(F.col("id") % 10 < 9, "HOT").when(F.col("id") % 20 == 9, None).otherwise(F.concat(F.lit("K"), F.col("id") % 3))
+    left = spark.range(0, n, 1, 12).select(key.alias("k"), F.when(F.col("id") % 2 == 0, 500).otherwise(F.col("id") % 1000).alias("at"), F.lit("x").alias("tie"))
+    right = spark.range(0, n // 2, 1, 12).select(key.alias("k"), (F.col("id") % 1000).alias("then"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = bags.ordered_bags(left, right, "k", {"left": "at", "right": "then"}, ["tie"])
+        busy = found.where("k = 'HOT'").withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(busy) > 2 and max(r["count"] for r in busy) < n // 2
+    ours, theirs = left.collect(), right.collect()
+    assert len(rows) == len(ours) + len(theirs)
+    for k in {r.k for r in ours}:
+        own = [r for r in rows if r.k == k and r.left is not None]
+        assert sorted(r.left_number for r in own) == list(range(1, len(own) + 1))
+        assert [r.left["at"] for r in sorted(own, key=lambda r: r.left_number)] == sorted(r["at"] for r in ours if r.k == k)
+        calls = sorted(r.then for r in theirs if r.k == k)
+        assert all(r.right_number == sum(c <= r.left["at"] for c in calls) for r in own[:200])
+
+
+def test_bags_of_one_side_or_none(spark):
+    left = spark.createDataFrame([("A", 2), ("A", 1)], "k string, at long")
+    right = spark.createDataFrame([("B", 5)], "k string, then long")
+    order = {"left": "at", "right": "then"}
+    rows = {(r.k, r.left and r.left["at"], r.right and r.right["then"], r.left_number, r.right_number) for r in bags.ordered_bags(left, right, "k", order).collect()}
+    assert rows == {("A", 1, None, 1, 0), ("A", 2, None, 2, 0), ("B", None, 5, 0, 1)}
+    assert bags.ordered_bags(left.limit(0), right.limit(0), "k", order).count() == 0
+    same = bags.ordered_bags(left, right.select(F.lit("A").alias("k"), F.lit(1).cast("long").alias("then")), "k", order, right_first=False)
+    assert {(r.left["at"], r.right_number) for r in same.collect() if r.left} == {(1, 0), (2, 1)}

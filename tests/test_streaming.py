@@ -94,3 +94,78 @@ def test_stream_equals_batch(spark, folder, tmp_path):
     run(spark, folder, tmp_path / "out", tmp_path / "cp")
     last = 3997 - 5
     assert result(spark, tmp_path / "out") == {w: n for w, n in expected.items() if w + 60 <= last}
+
+
+def test_a_repeated_batch_adds_nothing(spark, folder, tmp_path):
+    from waybill.sources import files
+
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    stage(folder, "f0", [1000, 1010, 1200], 1_000_000)
+
+    def go():
+        query = streaming.append_once(streaming.stream_windowed_counts(streaming.stream_activity(spark, str(folder))), checkpoint, out)
+        query.awaitTermination()
+        return query.lastProgress["batchId"]
+
+    last = go()
+    rows = lambda: sorted((r.n, r.location) for r in streaming.read_appended(spark, out).collect())
+    assert rows() == [(2, "AN")]
+    files.remove(spark, f"{checkpoint}/commits/{last}")
+    assert go() == last and rows() == [(2, "AN")]
+    # A batch that broke off while writing has no marker and is written anew.
+    files.remove(spark, f"{checkpoint}/commits/{last}")
+    files.remove(spark, f"{out}/batch_id={last}/_SUCCESS")
+    assert go() == last and rows() == [(2, "AN")]
+    stage(folder, "f1", [1300], 1_000_100)
+    go()
+    assert rows() == [(1, "AN"), (2, "AN")]
+
+
+@pytest.mark.parametrize("rocksdb", [True, False])
+def test_open_windows_are_read_from_the_checkpoint(spark, folder, tmp_path, rocksdb):
+    stage(folder, "f0", [1000, 1010, 1200, 1201], 1_000_000)
+    counts = streaming.stream_windowed_counts(streaming.stream_activity(spark, str(folder)))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with streaming.state_settings(spark, rocksdb, 3):
+        query = streaming.stream_to_table(counts, str(tmp_path / "cp"), path=str(tmp_path / "out"))
+    query.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    held = streaming.open_windows(spark, str(tmp_path / "cp")).select("location", F.unix_seconds("window_start"), "n").collect()
+    assert [tuple(r) for r in held] == [("AN", 1200, 2)]
+
+
+def test_the_clock_closes_the_windows_of_an_idle_stream(spark, folder, tmp_path):
+    out = tmp_path / "out"
+    stage(folder, "f0", [1000, 1010, 1061, 1200], 1_000_000, extra=["0, BK, 1000, 1, P"])
+    counts = streaming.stream_counts_by_clock(streaming.stream_activity(spark, str(folder)), delay_seconds=2)
+    with streaming.state_settings(spark, True, 2):
+        query = streaming.stream_to_table(counts, str(tmp_path / "cp"), path=str(out), trigger={"processingTime": "500 milliseconds"})
+    streaming.stop_when_idle(query, 2)
+    rows = lambda: sorted((r.location, int(r.window_start.timestamp()), r.n) for r in spark.read.parquet(str(out)).collect())
+    first = [("AN", 960, 2), ("AN", 1020, 1), ("AN", 1200, 1), ("BK", 960, 1)]
+    assert rows() == first
+    # After a restart a row for a closed window is dropped, one for a new window is not.
+    stage(folder, "f1", [1001, 1500], 1_000_100)
+    counts = streaming.stream_counts_by_clock(streaming.stream_activity(spark, str(folder)), delay_seconds=2)
+    with streaming.state_settings(spark, True, 2):
+        query = streaming.stream_to_table(counts, str(tmp_path / "cp"), path=str(out), trigger={"processingTime": "500 milliseconds"})
+    streaming.stop_when_idle(query, 2)
+    assert rows() == sorted([*first, ("AN", 1500, 1)])
+
+
+def test_metrics_of_each_batch_are_files(spark, folder, tmp_path):
+    for i, epochs in enumerate([[1000, 1200], [1300], [1001, 1400]]):
+        stage(folder, f"f{i}", epochs, 1_000_000 + 100 * i, extra=["broken"] * (i + 1))
+    metrics = streaming.MetricsLog(spark, str(tmp_path / "metrics"), "watched")
+    spark.streams.addListener(metrics)
+    try:
+        parsed = parsing.parse_activity(streaming.stream_lines(spark, str(folder), 1))
+        counted = parsed.observe("lines", F.count_if(~F.col("ok")).alias("invalid"))
+        counts = streaming.stream_windowed_counts(parsing.keep_valid(counted))
+        query = streaming.stream_to_table(counts, str(tmp_path / "cp"), path=str(tmp_path / "out"), name="watched")
+        query.awaitTermination()
+        metrics.wait(query)
+    finally:
+        spark.streams.removeListener(metrics)
+    found = streaming.read_metrics(spark, str(tmp_path / "metrics"), "lines: struct<invalid: bigint>").where("rows > 0").orderBy("batch")
+    assert [(r["rows"], r.observed.lines.invalid, r.late) for r in found.collect()] == [(3, 1, 0), (3, 2, 0), (5, 3, 1)]

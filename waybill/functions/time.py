@@ -19,6 +19,11 @@ def epoch_to_time(seconds: Column) -> Column:
     return F.timestamp_seconds(F.when(seconds.between(MIN_EPOCH, MAX_EPOCH), seconds))
 
 
+def time_to_millis(time: Column) -> Column:
+    """Milliseconds since the epoch, rounded down; NULL stays NULL."""
+    return F.unix_millis(time)
+
+
 def hour_start(time: Column, tz: str | None = None) -> Column:
     """Start of the wall-clock hour of ``tz`` (default: the session's zone).
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.schema import NEW_TRUCK_THRESHOLD
+from waybill.session import scratch_path
+from waybill.sources.writers import write_routed
 
 
 def union_activity(*frames: DataFrame) -> DataFrame:
@@ -33,5 +35,18 @@ def old_new_trucks(activity: DataFrame, threshold: int = NEW_TRUCK_THRESHOLD) ->
 
 
 def split_partitions(parted: DataFrame, n: int) -> list[DataFrame]:
-    """The n disjoint frames of a parted frame."""
+    """The n disjoint frames of a parted frame, each of which works the input off again; see ``staged_partitions``."""
     return [parted.where(F.col("part") == i).drop("part") for i in range(n)]
+
+
+def staged_partitions(parted: DataFrame, n: int, path: str | None = None) -> list[DataFrame]:
+    """The n disjoint frames of a parted frame, from a single pass over its input.
+
+    All parts are written once, each to its own folder below ``path`` (default: in the shared
+    scratch folder); every frame reads its own folder only. A part without rows is an empty frame.
+    """
+    spark = parted.sparkSession
+    path = path or scratch_path(spark, "parts")
+    write_routed(parted, "part", path)
+    rows = spark.read.schema(parted.schema).parquet(path)
+    return [rows.where(F.col("part") == i).drop("part") for i in range(n)]

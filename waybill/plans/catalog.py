@@ -5,15 +5,19 @@ Times leave as epoch seconds, so that results compare across engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waybill import sources, streaming
+from waybill.functions import time_to_millis
 from waybill.operators import (
     aggregates,
+    bags,
     combine,
     locations,
     parsing,
@@ -24,6 +28,7 @@ from waybill.plans import eventlog
 from waybill.plans.eventlog import EventLog
 from waybill.schema import COUNT_TABLE, PACKAGE_TABLE
 from waybill.session import scratch_path
+from waybill.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +125,11 @@ def activity_text(log: EventLog) -> DataFrame:
     return records.format_activity(log.activity)
 
 
+@_query
+def activity_epoch_millis(log: EventLog) -> DataFrame:
+    return log.activity.select("location", "package_id", time_to_millis(F.col("event_time")).alias("event_millis"))
+
+
 @_query
 def par_do_tags(log: EventLog) -> DataFrame:
     """The Python escape hatch on a small example; ``where`` and ``union`` would do the same."""
@@ -191,6 +201,15 @@ def partition_old_new(log: EventLog) -> DataFrame:
     return _records(combine.old_new_trucks(both))
 
 
+@_query
+def partitions_from_one_pass(log: EventLog) -> DataFrame:
+    """Four parts by truck, taken apart and each marked with its number; the logs are parsed once."""
+    both = combine.union_activity(log.activity, log.legacy)
+    parts = combine.staged_partitions(combine.partition_activity(both, 4, F.pmod("truck_id", F.lit(16)).cast("int") / 4), 4)
+    marked = [part.withColumn("part", F.lit(i)) for i, part in enumerate(parts)]
+    return _records(combine.union_activity(*marked))
+
+
 # Windows
 
 
@@ -244,6 +263,12 @@ def location_activity_with_calls(log: EventLog) -> DataFrame:
     return locations.location_activity_with_calls(log.activity, log.calls, log.names)
 
 
+@_query
+def activity_numbered_with_calls(log: EventLog) -> DataFrame:
+    """The raw bags of both inputs by location: each record's number, and the calls there had been by then."""
+    return _records(bags.activity_with_calls_so_far(log.activity, log.calls))
+
+
 @_query
 def location_report_lines(log: EventLog) -> DataFrame:
     report = locations.location_report_lines(log.activity, log.calls, log.names)
@@ -310,6 +335,28 @@ def package_table_truncate(log: EventLog) -> DataFrame:
     return _in_seconds(log.spark.read.parquet(path), "timestamp", "event_epoch")
 
 
+@_query
+def package_table_replaced(log: EventLog) -> DataFrame:
+    """A catalog table whose content is replaced; a third write that breaks off leaves it as it was."""
+    spark, name = log.spark, f"package_table_{uuid.uuid4().hex}"
+    table = records.to_package_table(log.activity)
+    arrived = records.to_package_table(records.arrivals(log.activity))
+    failing = F.when(F.col("truckId") < 0, F.col("location")).otherwise(F.raise_error(F.lit("broken off")).cast("string"))
+    root = scratch_path(spark, "package-table-versions")
+    for content in (table, arrived):
+        sources.replace_table(content, name, root)
+    try:
+        sources.replace_table(arrived.withColumn("location", failing), name, root)
+    except PySparkException as broken:
+        if "broken off" not in str(broken):
+            raise
+    back = _in_seconds(spark.table(name), "timestamp", "event_epoch")
+    # The rows are known by their files from here on; the name is not needed any more.
+    back.schema  # noqa: B018
+    spark.sql(f"DROP TABLE {name}")
+    return back
+
+
 @_query
 def count_table_append(log: EventLog) -> DataFrame:
     path = scratch_path(log.spark, "count-table")
@@ -376,19 +423,14 @@ def stream_counts_1m_append(log: EventLog) -> DataFrame:
 @_query
 def stream_counts_resumed(log: EventLog) -> DataFrame:
     """Log files arrive in three lots by time; the stream is restarted for each."""
-    incoming = scratch_path(log.spark, "stream-incoming")
-    out = scratch_path(log.spark, "stream-resumed")
-    events = log.table("events")
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    edges = [
-        F.lit(first + (last - first) * i / 3).cast(events.schema["ts"].dataType) for i in (1, 2)
-    ]
-    ts = F.col("ts")
-    lots = [ts < edges[0], ts.between(*edges), ts > edges[1]]
-    for lot in lots:
-        sources.write_lines(eventlog.activity_lines(events.where(lot)), incoming, mode="append")
+    incoming, out = scratch_path(log.spark, "stream-incoming"), scratch_path(log.spark, "stream-resumed")
+    for lot in _by_thirds(log):
+        sources.write_lines(eventlog.activity_lines(lot), incoming, mode="append")
         counts = streaming.stream_windowed_counts(streaming.stream_activity(log.spark, incoming))
-        streaming.stream_to_table(counts, f"{out}-checkpoint", path=out).awaitTermination()
+        # Few windows are open at a time: two partitions of state, for good.
+        with streaming.state_settings(log.spark, partitions=2):
+            query = streaming.stream_to_table(counts, f"{out}-checkpoint", path=out)
+        query.awaitTermination()
     return _in_seconds(log.spark.read.parquet(out), "window_start", "window_epoch")
 
 
@@ -406,3 +448,78 @@ def stream_counts_late(log: EventLog) -> DataFrame:
         counts = streaming.stream_windowed_counts(streaming.stream_activity(log.spark, incoming))
         streaming.stream_to_table(counts, f"{out}-checkpoint", path=out).awaitTermination()
     return _in_seconds(log.spark.read.parquet(out), "window_start", "window_epoch")
+
+
+def _by_thirds(log: EventLog) -> list[DataFrame]:
+    """The events in three lots by time."""
+    events = log.table("events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    edges = [F.lit(first + (last - first) * i / 3).cast(events.schema["ts"].dataType) for i in (1, 2)]
+    ts = F.col("ts")
+    return [events.where(lot) for lot in (ts < edges[0], ts.between(*edges), ts > edges[1])]
+
+
+@_query
+def stream_counts_by_clock(log: EventLog) -> DataFrame:
+    """All windows, the last ones too: the stream goes idle and the clock closes them."""
+    out, delay = scratch_path(log.spark, "stream-clock"), 2
+    counts = streaming.stream_counts_by_clock(parsing.keep_valid(parsing.parse_activity(log.streamed_lines)), 60, delay_seconds=delay)
+    with streaming.state_settings(log.spark, rocksdb=True, partitions=log.spark.sparkContext.defaultParallelism):
+        query = streaming.stream_to_table(counts, f"{out}-checkpoint", path=out, trigger={"processingTime": "1 second"})
+    streaming.stop_when_idle(query, delay)
+    return _in_seconds(log.spark.read.parquet(out), "window_start", "window_epoch")
+
+
+@_query
+def stream_open_windows(log: EventLog) -> DataFrame:
+    """What a stopped stream still holds back, read from its state."""
+    out = scratch_path(log.spark, "stream-open")
+    with streaming.state_settings(log.spark, rocksdb=True, partitions=2):
+        query = streaming.stream_to_table(_streamed(log), f"{out}-checkpoint", path=out)
+    query.awaitTermination()
+    return _in_seconds(streaming.open_windows(log.spark, f"{out}-checkpoint"), "window_start", "window_epoch")
+
+
+@_query
+def stream_counts_replayed(log: EventLog) -> DataFrame:
+    """The last batch of each of three lots is run twice, as after a failure before its commit."""
+    incoming, out = scratch_path(log.spark, "stream-replay-incoming"), scratch_path(log.spark, "stream-replay")
+    for lot in _by_thirds(log):
+        sources.write_lines(eventlog.activity_lines(lot), incoming, mode="append")
+        for _ in range(2):
+            counts = streaming.stream_windowed_counts(streaming.stream_activity(log.spark, incoming))
+            with streaming.state_settings(log.spark, partitions=2):
+                query = streaming.append_once(counts, f"{out}-checkpoint", out)
+            query.awaitTermination()
+            last = query.lastProgress
+            if last:
+                files.remove(log.spark, f"{out}-checkpoint/commits/{last['batchId']}")
+    return _in_seconds(streaming.read_appended(log.spark, out), "window_start", "window_epoch")
+
+
+@_query
+def stream_metrics(log: EventLog) -> DataFrame:
+    """Lines, invalid lines and whether any came too late, per batch with input of the stream of ``stream_counts_late``."""
+    spark, events = log.spark, log.table("events")
+    incoming, out = scratch_path(spark, "stream-metrics-incoming"), scratch_path(spark, "stream-metrics")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    half = F.lit(first + (last - first) / 2).cast(events.schema["ts"].dataType)
+    in_time = F.coalesce((F.col("ts") < half) & (F.col("event_id") % 10 != 0), F.lit(False))
+    name = f"metrics-{uuid.uuid4().hex}"
+    metrics = streaming.MetricsLog(spark, f"{out}-log", name)
+    spark.streams.addListener(metrics)
+    try:
+        for lot in (in_time, ~in_time):
+            sources.write_lines(eventlog.activity_lines(events.where(lot)), incoming, mode="append")
+            parsed = parsing.parse_activity(streaming.stream_lines(spark, incoming))
+            counted = parsed.observe("lines", F.count(F.lit(1)).alias("lines"), F.count_if(~F.col("ok")).alias("invalid"))
+            counts = streaming.stream_windowed_counts(parsing.keep_valid(counted))
+            with streaming.state_settings(spark, partitions=2):
+                query = streaming.stream_to_table(counts, f"{out}-checkpoint", path=out, name=name)
+            query.awaitTermination()
+            metrics.wait(query)
+    finally:
+        spark.streams.removeListener(metrics)
+    found = streaming.read_metrics(spark, f"{out}-log", "lines: struct<lines: bigint, invalid: bigint>").where("rows > 0")
+    lot = F.row_number().over(Window.partitionBy("query").orderBy("batch"))
+    return found.select(lot.alias("lot"), "observed.lines.lines", "observed.lines.invalid", (F.col("late") > 0).alias("late"))

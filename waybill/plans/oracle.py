@@ -129,6 +129,7 @@ _TAILS: dict[str, tuple[list[str], str]] = {
         """SELECT concat('PackageActivityInfo [isArrival=', is_arrival, ', location=', location,
              ', packageId=', package_id, ']') AS line FROM act""",
     ),
+    "activity_epoch_millis": ([], "SELECT location, package_id, event_epoch * 1000 AS event_millis FROM act"),
     "par_do_tags": (
         [],
         """SELECT package_id, 'arrival' AS tag FROM act WHERE is_arrival
@@ -163,6 +164,7 @@ _TAILS: dict[str, tuple[list[str], str]] = {
         [LEGACY],
         "SELECT *, CASE WHEN truck_id < 200 THEN 0 ELSE 1 END AS part FROM both_logs",
     ),
+    "partitions_from_one_pass": ([LEGACY], "SELECT *, (truck_id % 16 // 4)::INTEGER AS part FROM both_logs"),
     "hourly_counts": (
         [],
         """SELECT event_epoch // 3600 * 3600 AS hour_epoch, count(*) AS n FROM act GROUP BY 1""",
@@ -204,6 +206,17 @@ _TAILS: dict[str, tuple[list[str], str]] = {
         "SELECT act.*, name FROM act LEFT JOIN names USING (location)",
     ),
     "location_activity_with_calls": ([CALLS], "SELECT * FROM joined"),
+    "activity_numbered_with_calls": (
+        [
+            CALLS,
+            """bag AS (
+                 SELECT location, call_epoch AS secs, 0 AS side, NULL AS package_id, NULL AS truck_id, NULL AS is_arrival FROM calls
+                 UNION ALL SELECT location, event_epoch, 1, package_id, truck_id, is_arrival FROM act),
+               numbered AS (SELECT *, (sum(side) OVER w)::BIGINT AS number, (sum(1 - side) OVER w)::BIGINT AS calls_so_far FROM bag
+                 WINDOW w AS (PARTITION BY location ORDER BY secs, side, package_id, truck_id, is_arrival ROWS UNBOUNDED PRECEDING))""",
+        ],
+        """SELECT is_arrival, location, secs AS event_epoch, truck_id, package_id, number, calls_so_far FROM numbered WHERE side = 1""",
+    ),
     "location_report_lines": ([CALLS, REPORT], "SELECT * FROM report"),
     "location_report_text": ([CALLS, REPORT], "SELECT line FROM report"),
     "location_files": (
@@ -241,6 +254,22 @@ _TAILS: dict[str, tuple[list[str], str]] = {
              SELECT location, event_epoch // 60 * 60 AS w, count(*) AS n FROM act GROUP BY 1, 2)
            WHERE w + 60 <= (SELECT max(event_epoch) FROM act) - 5""",
     ),
+    "stream_open_windows": (
+        [],
+        """SELECT location, w AS window_epoch, n FROM (
+             SELECT location, event_epoch // 60 * 60 AS w, count(*) AS n FROM act GROUP BY 1, 2)
+           WHERE w + 60 > (SELECT max(event_epoch) FROM act) - 5""",
+    ),
+    "stream_metrics": (
+        [
+            """half AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS half_at FROM events),
+               lots AS (SELECT e // 60 * 60 AS w, e, ok, (ts < half_at AND event_id % 10 <> 0) AS early FROM checked, half),
+               seen AS (SELECT max(e) FILTER (WHERE early AND ok) - 5 AS first FROM lots)"""
+        ],
+        """SELECT CASE WHEN early THEN 1 ELSE 2 END AS lot, count(*) AS lines, count(*) FILTER (WHERE NOT ok) AS invalid,
+             bool_or(ok AND NOT early AND w + 60 <= first) AS late
+           FROM lots, seen GROUP BY early""",
+    ),
     "stream_counts_late": (
         [
             """half AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS half_at FROM events),
@@ -260,7 +289,10 @@ _SAME_ROWS = {
     "activity_text_files": "activity_text",
     "record_files": "parse_activity",
     "package_table_truncate": "arrivals_table",
+    "package_table_replaced": "arrivals_table",
     "stream_counts_resumed": "stream_counts_1m_append",
+    "stream_counts_replayed": "stream_counts_1m_append",
+    "stream_counts_by_clock": "windowed_counts_1m",
 }
 
 

@@ -8,6 +8,8 @@ from waybill.sources.readers import (
 )
 from waybill.sources.writers import (
     conform,
+    replace_files,
+    replace_table,
     write_lines,
     write_many,
     write_records,
@@ -23,6 +25,8 @@ __all__ = [
     "read_lines",
     "read_location_names",
     "read_support_calls",
+    "replace_files",
+    "replace_table",
     "write_lines",
     "write_many",
     "write_records",

@@ -59,8 +59,9 @@ def stream_to_table(
     table: str | None = None,
     path: str | None = None,
     trigger: dict | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Append finished rows to a table, or to Parquet files at a path.
+    """Append finished rows to a table, or to Parquet files at a path; ``name`` is the query's name for listeners.
 
     The default trigger works off what is there and stops; pass for instance
     ``{"processingTime": "1 minute"}`` to keep running.
@@ -73,4 +74,6 @@ def stream_to_table(
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
     )
+    if name is not None:
+        writer = writer.queryName(name)
     return writer.toTable(table) if table is not None else writer.start(path)
