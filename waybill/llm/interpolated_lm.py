@@ -7,12 +7,14 @@ weights maximise the likelihood of held-out counts: one training text in ``FOLDS
 apart, expectation-maximisation fits the weights to it under the counts of the others, and the
 counts of all training texts then go with these weights.
 
-On Spark: texts are dealt by hash into chunks of about ``CHUNK_BYTES``. Each chunk asks for its
-distinct n-grams, as sorted hashes in one packed row per range of hashes, with its own counts
-if it is trained on; the rows of a range meet in one task, which sums the counts and answers
-each chunk; chunks meet their answers and score their texts. So n-grams are combined before
-they travel, no table of the corpus' n-grams is held anywhere, and hot n-grams cost one entry
-a chunk. Counts cover all training texts, whole. N-grams are told apart by 64-bit hashes.
+On Spark: texts are dealt by hash into chunks of about ``CHUNK_BYTES``, each written as one
+compressed row. A chunk asks for its distinct n-grams, as sorted hashes in one packed row per
+range of hashes, with its own counts if it is trained on; the rows of a range meet in one
+task, which sums the counts and answers each chunk; chunks meet their answers and score their
+texts. Shorter n-grams and trigrams are asked for one after the other, so that only one lot is
+on disk. So n-grams are combined before they travel, no table of the corpus' n-grams is held
+anywhere, and hot n-grams cost one entry a chunk. Counts cover all training texts, whole.
+N-grams are told apart by 64-bit hashes.
 
 Null texts are empty and have one token, the end. Rows without an id are trained on and scored,
 repeated rows count repeatedly, an empty table gives no rows; further columns are ignored.
@@ -68,11 +70,12 @@ class Tokens:
     one: np.ndarray
     two: np.ndarray
     three: np.ndarray
-    #: The context of each token's bigram and trigram.
-    before: np.ndarray
-    before_two: np.ndarray
     bounds: np.ndarray
 
+    @property
+    def first(self) -> np.ndarray:
+        return self.bounds[:-1]
+
 
 def _hashed(level: int, *tokens: np.ndarray) -> np.ndarray:
     total = np.uint64(level) * _KEYS[2]
@@ -102,14 +105,18 @@ def tokens_of(texts: pa.Array | pa.ChunkedArray) -> Tokens:
     back[first] = _START
     back_two = np.roll(back, 1)
     back_two[first] = _START
-    return Tokens(_hashed(1, token), _hashed(2, back, token), _hashed(3, back_two, back, token), _hashed(1, back), _hashed(2, back_two, back), bounds)
+    return Tokens(_hashed(1, token), _hashed(2, back, token), _hashed(3, back_two, back, token), bounds)
+
 
+def grams_of(t: Tokens, lot: int) -> np.ndarray:
+    """Lot 0: the single tokens, the bigrams, then a start and two starts for each text, being contexts; lot 1: the trigrams.
 
-def distinct_grams(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted n-grams with their counts. A context counts as often as a token follows it, so each text begins with starts."""
-    texts = len(t.bounds) - 1
-    grams = [t.one, t.two, t.three, np.repeat(_hashed(1, np.array([_START])), texts), np.repeat(_hashed(2, *[np.array([_START])] * 2), texts)]
-    return np.unique(np.concatenate(grams), return_counts=True)
+    A context counts as often as a token follows it, and a token other than the end is always followed.
+    """
+    if lot:
+        return t.three
+    texts, start = len(t.first), np.array([_START])
+    return np.concatenate([t.one, t.two, np.repeat(_hashed(1, start), texts), np.repeat(_hashed(2, start, start), texts)])
 
 
 def packed(values: np.ndarray, ascending: bool = False) -> bytes:
@@ -133,23 +140,48 @@ def unpacked(data: bytes, ascending: bool = False) -> np.ndarray:
 # Counts for chunks
 
 
-def _requests(docs: DataFrame, ranges: int) -> DataFrame:
+def _chunks(docs: DataFrame) -> DataFrame:
+    """A row per chunk: its ids, and its texts in compressed Arrow form."""
+
+    def pack(key: tuple, table: pa.Table) -> pa.Table:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, pa.schema([("text", pa.large_string())]), options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(pa.table([table["text"].cast(pa.large_string())], names=["text"]))
+        ids = table["id"].combine_chunks()
+        columns = [pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([sink.getvalue().to_pybytes()])]
+        return pa.table(columns, names=["fold", "chunk", "ids", "texts"])
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.groupBy("fold", "chunk").applyInArrow(pack, f"fold int, chunk long, ids array<{kind}>, texts binary")
+
+
+def _texts(packed_texts: bytes) -> pa.ChunkedArray:
+    return pa.ipc.open_stream(packed_texts).read_all()["text"]
+
+
+def _requests(chunks: DataFrame, ranges: int, lot: int) -> DataFrame:
     """A row per chunk and range of hashes: the chunk's distinct n-grams there, with their counts if it is trained on."""
 
-    def ask(key: tuple, table: pa.Table) -> pa.Table:
-        fold, chunk = (k.as_py() for k in key)
-        grams, counts = distinct_grams(tokens_of(table["text"]))
-        at = np.searchsorted(((grams >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32), np.arange(ranges + 1))
-        rows = [(k, packed(grams[a:b], True), packed(counts[a:b]) if fold < 2 else None) for k, (a, b) in enumerate(zip(at, at[1:], strict=False)) if b > a]
-        columns = [[fold] * len(rows), [chunk] * len(rows), *([r[k] for r in rows] for k in range(3))]
-        kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["fold", "chunk", "part", "grams", "counts"])
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for fold, chunk, texts in zip(*(column(batch, c) for c in ("fold", "chunk", "texts")), strict=True):
+                grams, counts = np.unique(grams_of(tokens_of(_texts(texts.as_py())), lot), return_counts=True)
+                at = np.searchsorted(((grams >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32), np.arange(ranges + 1))
+                spans_ = [(k, a, b) for k, (a, b) in enumerate(zip(at, at[1:], strict=False)) if b > a]
+                columns = [
+                    pa.array([fold.as_py()] * len(spans_), pa.int32()),
+                    pa.array([chunk.as_py()] * len(spans_), pa.int64()),
+                    pa.array([k for k, _, _ in spans_], pa.int32()),
+                    pa.array([packed(grams[a:b], True) for _, a, b in spans_], pa.binary()),
+                    pa.array([packed(counts[a:b]) if fold.as_py() < 2 else None for _, a, b in spans_], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["fold", "chunk", "part", "grams", "counts"])
 
-    return docs.groupBy("fold", "chunk").applyInArrow(ask, "fold int, chunk long, part int, grams binary, counts binary")
+    return chunks.select("fold", "chunk", "texts").mapInArrow(ask, "fold int, chunk long, part int, grams binary, counts binary")
 
 
 def _answers(requests: DataFrame) -> DataFrame:
-    """For each request the counts in the counted texts and in all training texts; a null chunk has tokens and distinct tokens of both."""
+    """For each request the counts in all training texts, and in those held out; a null chunk has tokens and distinct tokens."""
 
     def answer(table: pa.Table) -> pa.Table:
         folds, asked = table["fold"].to_pylist(), [unpacked(x.as_py(), True) for x in table["grams"]]
@@ -160,30 +192,40 @@ def _answers(requests: DataFrame) -> DataFrame:
             if fold < 2:
                 own = unpacked(counts.as_py()).astype(np.int64)
                 # An n-gram occurs once in a request.
-                totals[1, inverse[at[k] : at[k + 1]]] += own
-                if fold == 0:
-                    totals[0, inverse[at[k] : at[k + 1]]] += own
+                totals[0, inverse[at[k] : at[k + 1]]] += own
+                if fold == 1:
+                    totals[1, inverse[at[k] : at[k + 1]]] += own
         tokens = (grams & _LEVEL == np.uint64(1)) & (grams != _hashed(1, np.array([_START]))[0])
-        stats = [int(x) for x in (totals[0, tokens].sum(), totals[1, tokens].sum(), (totals[1, tokens] > 0).sum())]
+        stats = [int(x) for x in (totals[0, tokens].sum(), totals[1, tokens].sum(), (totals[0, tokens] > 0).sum())]
         replies = [[packed(t[inverse[a:b]]) for a, b in zip(at, at[1:], strict=False)] for t in totals]
         n = len(folds)
         columns = [[*folds, None], [*table["chunk"].to_pylist(), None], [*table["part"].to_pylist(), None], [*replies[0], None], [*replies[1], None]]
         columns += [[None] * n + [x] for x in stats]
         kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 3)
-        names = ["fold", "chunk", "part", "counted", "trained", "n_counted", "n_trained", "n_words"]
+        names = ["fold", "chunk", "part", "trained", "apart", "n_trained", "n_apart", "n_words"]
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    schema = "fold int, chunk long, part int, counted binary, trained binary, n_counted long, n_trained long, n_words long"
+    schema = "fold int, chunk long, part int, trained binary, apart binary, n_trained long, n_apart long, n_words long"
     return requests.groupBy("part").applyInArrow(answer, schema)
 
 
-def _estimates(t: Tokens, grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per token: the buckets of its trigram and bigram context, its two estimates, and its own count."""
-    of = lambda wanted: counts[np.searchsorted(grams, wanted)].astype(np.float64)
-    context_two, context_one = of(t.before_two), of(t.before)
-    ml3 = np.divide(of(t.three), context_two, out=np.zeros(len(context_two)), where=context_two > 0)
-    ml2 = np.divide(of(t.two), context_one, out=np.zeros(len(context_one)), where=context_one > 0)
-    return bucket(context_two), bucket(context_one), ml3, ml2, of(t.one)
+def _estimates(texts: pa.ChunkedArray, answers: pa.Table, held: bool) -> tuple[Tokens, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens; for each the buckets of its trigram and bigram context, its two estimates, and its own count; ``held``: without held-out texts."""
+    t = tokens_of(texts)
+    n, counts = len(t.one), []
+    for lot in (0, 1):
+        grams, inverse = np.unique(grams_of(t, lot), return_inverse=True)
+        own = _in_order(answers, lot, "trained")
+        if held:
+            own = own - _in_order(answers, lot, "apart")
+        counts.append(own.astype(np.float64)[inverse])
+    one, two, three = counts[0][:n], counts[0][n : 2 * n], counts[1]
+    # A token's contexts are the n-grams that ended before it, or the starts.
+    context_one, context_two = np.roll(one, 1), np.roll(two, 1)
+    context_one[t.first], context_two[t.first] = counts[0][2 * n : 2 * n + len(t.first)], counts[0][2 * n + len(t.first) :]
+    ml3 = np.divide(three, context_two, out=np.zeros(n), where=context_two > 0)
+    ml2 = np.divide(two, context_one, out=np.zeros(n), where=context_one > 0)
+    return t, bucket(context_two), bucket(context_one), ml3, ml2, one
 
 
 def bucket(frequency: np.ndarray) -> np.ndarray:
@@ -191,10 +233,11 @@ def bucket(frequency: np.ndarray) -> np.ndarray:
     return np.frexp(frequency)[1].clip(0, BUCKETS - 1).astype(np.uint8)
 
 
-def _in_order(table: pa.Table, name: str) -> np.ndarray:
-    """A chunk's answers as one array, aligned with its sorted n-grams."""
-    order = np.argsort(table["part"].to_numpy())
-    return np.concatenate([unpacked(table[name][int(k)].as_py()) for k in order]) if len(order) else np.zeros(0, np.uint64)
+def _in_order(answers: pa.Table, lot: int, name: str) -> np.ndarray:
+    """A chunk's answers of one lot as one array, aligned with its sorted n-grams."""
+    lots, parts = answers["lot"].to_pylist(), answers["part"].to_pylist()
+    rows = sorted((part, k) for k, (own, part) in enumerate(zip(lots, parts, strict=True)) if own == lot)
+    return np.concatenate([unpacked(answers[name][k].as_py()) for _, k in rows] or [np.zeros(0, np.uint64)])
 
 
 # Weights
@@ -244,17 +287,15 @@ class Weights:
         return found
 
 
-def _estimate_rows(docs: DataFrame, answers: DataFrame, n_counted: int) -> DataFrame:
+def _estimate_rows(chunks: DataFrame, answers: DataFrame, n_counted: int) -> DataFrame:
     """The held-out texts' tokens as packed estimates under the counted texts, a row per chunk."""
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        t = tokens_of(left["text"])
-        b3, b2, ml3, ml2, c1 = _estimates(t, distinct_grams(t)[0], _in_order(right, "counted"))
-        ml1 = c1 / max(n_counted, 1)
-        columns = [x.tobytes() for x in (b3, b2, ml3, ml2, ml1)]
+        _, b3, b2, ml3, ml2, c1 = _estimates(_texts(left["texts"][0].as_py()), right, True)
+        columns = [x.tobytes() for x in (b3, b2, ml3, ml2, c1 / max(n_counted, 1))]
         return pa.table([pa.array([x], pa.binary()) for x in columns], names=["b3", "b2", "ml3", "ml2", "ml1"])
 
-    apart = docs.where("fold = 1").groupBy("fold", "chunk").cogroup(answers.where("fold = 1").groupBy("fold", "chunk"))
+    apart = chunks.where("fold = 1").groupBy("fold", "chunk").cogroup(answers.where("fold = 1").groupBy("fold", "chunk"))
     return apart.applyInArrow(work, "b3 binary, b2 binary, ml3 binary, ml2 binary, ml1 binary")
 
 
@@ -295,13 +336,15 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """
     id_, text = docs[id_column], docs[text_column]
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    chunks = max(1, math.ceil(size / chunk_bytes))
-    dealt = docs.select(id_.alias("id"), text.alias("text"), _fold(id_).alias("fold"), F.pmod(F.xxhash64(id_, text), F.lit(chunks)).alias("chunk"))
-    answers = staged(_answers(_requests(dealt, chunks)), "lm-counts")
-    n_counted, n_trained, n_words = (int(x or 0) for x in answers.agg(F.sum("n_counted"), F.sum("n_trained"), F.sum("n_words")).first())
+    n = max(1, math.ceil(size / chunk_bytes))
+    dealt = docs.select(id_.alias("id"), text.alias("text"), _fold(id_).alias("fold"), F.pmod(F.xxhash64(id_, text), F.lit(n)).alias("chunk"))
+    chunks = staged(_chunks(dealt), "lm-chunks")
+    lots = [staged(_answers(_requests(chunks, n, lot)), "lm-counts") for lot in (0, 1)]
+    n_trained, n_apart, n_words = (int(x or 0) for x in lots[0].agg(F.sum("n_trained"), F.sum("n_apart"), F.sum("n_words")).first())
     unknown = 1 / (n_words + 1)
-    answers_only = answers.where("part IS NOT NULL").select("fold", "chunk", "part", "counted", "trained")
-    estimates = staged(_estimate_rows(dealt, answers_only, n_counted), "lm-held-out")
+    by_lot = [x.where("part IS NOT NULL").select("fold", "chunk", F.lit(lot).alias("lot"), "part", "trained", "apart") for lot, x in enumerate(lots)]
+    answers = by_lot[0].unionByName(by_lot[1])
+    estimates = staged(_estimate_rows(chunks, answers, n_trained - n_apart), "lm-held-out")
     weights = fit_weights(estimates, unknown)
     discard(estimates)
     if not n_trained:
@@ -309,15 +352,13 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     kind = dealt.schema["id"].dataType.simpleString()
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        t = tokens_of(left["text"])
-        b3, b2, ml3, ml2, c1 = _estimates(t, distinct_grams(t)[0], _in_order(right, "trained"))
+        t, b3, b2, ml3, ml2, c1 = _estimates(_texts(left["texts"][0].as_py()), right, False)
         p = weights.mixed(b3, b2, ml3, ml2, c1 / max(n_trained, 1), unknown)[0]
         base = np.log10((c1 + 0.5) / (n_trained + 0.5 * (n_words + 1)))
-        at, n = t.bounds[:-1], len(t.bounds) - 1
-        summed = lambda x: np.add.reduceat(x, at) if n else np.zeros(0)
+        n, summed = len(t.first), lambda x: np.add.reduceat(x, t.first)
         columns = [
-            left["id"].combine_chunks(),
-            pa.array(np.asarray(left["fold"]) == 2),
+            left["ids"].combine_chunks().flatten(),
+            pa.array([left["fold"][0].as_py() == 2] * n),
             pa.array(np.diff(t.bounds)),
             pa.array(summed((c1 > 0).astype(np.int64)), pa.int64()),
             pa.array(np.full(n, n_trained)),
@@ -326,8 +367,9 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         ]
         return pa.table(columns, names=[id_column, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    both = dealt.groupBy("fold", "chunk").cogroup(answers_only.groupBy("fold", "chunk"))
+    both = chunks.groupBy("fold", "chunk").cogroup(answers.drop("apart").groupBy("fold", "chunk"))
     schema = f"`{id_column}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     scored = staged(both.applyInArrow(score, schema), "lm-scores")
-    discard(answers)
+    for done in (chunks, *lots):
+        discard(done)
     return scored
