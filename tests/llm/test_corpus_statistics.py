@@ -106,7 +106,8 @@ def test_tries_count_every_phrase(rows, entries, burst, monkeypatch):
     batch = pa.RecordBatch.from_arrays(list(names), names=["lang", "text"])
     mergers, words = {}, Counter()
     for lang, part, n, run in collocations.count_texts([batch], 3, entries, burst):
-        mergers.setdefault((lang, part), collocations.Merger(50)).add(run)
+        merger = mergers.setdefault((lang, part), collocations.Merger(50))
+        merger.add(run)
         words[lang] += n
         _, ids, _ = collocations.unpacked_run(run)
         assert ids.tolist() == sorted(ids.tolist())

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chunks import ragged
 from .common import column, discard, staged, steps, utf8
 from .words import lower, mix, span_hashes, spans
 
@@ -33,9 +34,9 @@ from .words import lower, mix, span_hashes, spans
 LONGEST, BITS = 4, 21
 MIN_COUNT = 30
 #: Endings of a container that bursts, of a trie that spills, and entries that are merged at a time.
-BURST, TRIE_ENTRIES, MERGE_ENTRIES = 4_096, 1_000_000, 1_500_000
+BURST, TRIE_ENTRIES, MERGE_ENTRIES = 4_096, 1_000_000, 1_000_000
 #: Bytes of text counted at a time, and prefix partitions for each partition of the input.
-COUNT_BYTES, PARTS = 2_000_000, 2
+COUNT_BYTES, PARTS = 3_000_000, 4
 
 _MASK = (1 << BITS) - 1
 _KEYS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -52,16 +53,23 @@ class HatTrie:
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[bytes, int] = {}
+        self.known: dict[int, int] = {}
+        self.words: list[bytes] = []
+        self.hashes: list[np.ndarray] = [np.zeros(1, np.uint64)]
         self.roots: dict[tuple[int, int], dict] = {}
         #: First words whose container has burst; their subtrees map the second word to a container.
         self.nodes: set[tuple[int, int]] = set()
         self.sizes: dict[tuple[int, int], int] = {}
         self.entries = 0
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        known = self.words
-        return np.array([known.setdefault(w, len(known) + 1) for w in words], np.int64)
+    def ids(self, hashes: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Numbers from 1 of distinct words, by their hashes."""
+        known, before = self.known, len(self.known)
+        found = np.array([known.setdefault(h, len(known) + 1) for h in hashes.tolist()], np.int64)
+        new = found > before
+        self.hashes.append(hashes[new])
+        self.words.extend(data[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True))
+        return found
 
     def add(self, lang: int, first: np.ndarray, endings: np.ndarray, counts: np.ndarray) -> None:
         """Counts of distinct phrases, in order of their first words' ids."""
@@ -85,10 +93,13 @@ class HatTrie:
                         box[ending] = old + n
                 now = before + grown
             else:
-                box = self.roots.setdefault(key, {})
-                before = len(box)
-                for ending, n in zip(ends[a:b], ns[a:b], strict=True):
-                    box[ending] = box.get(ending, 0) + n
+                box = self.roots.get(key)
+                before = len(box) if box else 0
+                if box is None:
+                    box = self.roots[key] = dict(zip(ends[a:b], ns[a:b], strict=True))
+                else:
+                    for ending, n in zip(ends[a:b], ns[a:b], strict=True):
+                        box[ending] = box.get(ending, 0) + n
                 now = len(box)
                 if now > self.burst:
                     self._burst(key)
@@ -105,29 +116,27 @@ class HatTrie:
 
     def spill(self, keep: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Take out whole subtrees, the largest first, until ``keep`` entries are left: language, four word ids, count."""
-        langs, firsts, lengths, ends, ns = [], [], [], [], []
+        langs, firsts, lengths, seconds, boxes, ends, ns = [], [], [], [], [], [], []
         for key in sorted(self.sizes, key=self.sizes.__getitem__, reverse=True):
             if self.entries <= keep:
                 break
-            subtree, shift = self.roots.pop(key), BITS * (LONGEST - 2)
-            if key in self.nodes:
-                self.nodes.remove(key)
-                for second, box in subtree.items():
-                    ends.extend([(second << shift) + e for e in box])
-                    ns.extend(box.values())
-            else:
-                ends.extend(subtree)
-                ns.extend(subtree.values())
+            subtree = self.roots.pop(key)
+            for second, box in subtree.items() if key in self.nodes else ((0, subtree),):
+                seconds.append(second)
+                boxes.append(len(box))
+                ends.extend(box)
+                ns.extend(box.values())
+            self.nodes.discard(key)
             langs.append(key[0])
             firsts.append(key[1])
             lengths.append(self.sizes.pop(key))
             self.entries -= lengths[-1]
-        packed = np.array(ends, np.int64)
-        ids = np.empty((len(packed), LONGEST), np.int64)
+        packed = np.array(ends, np.int64) + np.repeat(np.array(seconds, np.int64) << (BITS * (LONGEST - 2)), boxes)
+        ids = np.empty((len(packed), LONGEST), np.int32)
         ids[:, 0] = np.repeat(np.array(firsts, np.int64), lengths)
         for k in range(1, LONGEST):
             ids[:, k] = (packed >> (BITS * (LONGEST - 1 - k))) & _MASK
-        return np.repeat(np.array(langs, np.int64), lengths), ids, np.array(ns, np.int64)
+        return np.repeat(np.array(langs, np.int32), lengths), ids, np.array(ns, np.int64)
 
 
 def phrases_of(ids: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,54 +168,61 @@ def phrases_of(ids: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return first[order], endings[order], counts[order]
 
 
-def packed_run(words: list[bytes], ids: np.ndarray, counts: np.ndarray) -> bytes:
-    """A sorted run with its own dictionary: words, then the columns of word numbers and the counts, compressed."""
-    used, inverse = np.unique(ids, return_inverse=True)
-    inverse = inverse.reshape(ids.shape)
-    text = b"\n".join(words[w - 1] for w in used.tolist() if w)
-    if len(used) and used[0]:
-        inverse += 1
-    narrow = inverse.astype(np.uint16 if len(used) < 65_535 else np.uint32)
+def packed_run(text: bytes, ranks: np.ndarray, counts: np.ndarray) -> bytes:
+    """A sorted run with its own dictionary: a line for each word, then the columns of word numbers and the counts, compressed."""
     small = counts.astype(np.uint8) if counts.max() < 256 else counts
-    head = np.array([len(text), len(ids), narrow.itemsize, small.itemsize], np.int64)
-    body = head.tobytes() + text + narrow.T.tobytes() + small.tobytes()
+    head = np.array([len(text), len(ranks), ranks.itemsize, small.itemsize], np.int64)
+    body = head.tobytes() + text + ranks.T.tobytes() + small.tobytes()
     return np.int64(len(body)).tobytes() + pa.compress(body, "zstd", asbytes=True)
 
 
-def unpacked_run(run: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def unpacked_run(run: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lines of the dictionary, four word numbers of each phrase (from 1; 0: no word), counts."""
     body = pa.decompress(run[8:], int(np.frombuffer(run[:8], np.int64)[0]), "zstd", asbytes=True)
     size, n, wide, count_wide = np.frombuffer(body[:32], np.int64).tolist()
-    words = body[32 : 32 + size].split(b"\n") if size else []
     at = 32 + size
     ids = np.frombuffer(body[at : at + wide * n * LONGEST], np.uint16 if wide == 2 else np.uint32)
     counts = np.frombuffer(body[at + wide * n * LONGEST :], np.uint8 if count_wide == 1 else np.int64)
-    return words, ids.reshape(LONGEST, n).T.astype(np.int64), counts.astype(np.int64)
+    return np.frombuffer(body[32:at], np.uint8), ids.reshape(LONGEST, n).T.astype(np.int64), counts.astype(np.int64)
+
+
+def lines_of(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the lines and the ends before their line breaks."""
+    ends = np.flatnonzero(text == 10)
+    return np.r_[0, ends[:-1] + 1][: len(ends)], ends
 
 
 def runs(trie: HatTrie, langs: list[str], parts: int, keep: int = 0) -> Iterator[tuple[str, int, int, bytes]]:
-    """Spilled subtrees as (language, prefix partition, occurrences of words, run), each run in order of its words."""
+    """Spilled subtrees as (language, prefix partition, occurrences of words, run).
+
+    Every run is in order of its words' hashes, the order that all tasks share.
+    """
     lang, ids, counts = trie.spill(keep)
     if not len(counts):
         return
-    words = list(trie.words)
-    place = np.empty(len(words) + 1, np.int64)
-    place[0] = 0
-    order = sorted(range(len(words)), key=words.__getitem__)
-    place[np.array(order, np.int64) + 1] = np.arange(1, len(words) + 1)
-    ranks = place[ids]
-    data = np.frombuffer(b"".join(words), np.uint8)
-    ends = np.cumsum([len(w) for w in words])
-    hashes = np.concatenate([[np.uint64(0)], span_hashes(data, np.concatenate([[0], ends[:-1]]), ends)])
+    hashes = np.concatenate(trie.hashes)
+    trie.hashes = [hashes]
+    order = np.r_[0, np.argsort(hashes[1:]) + 1]
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
     part = (mix(hashes[ids[:, 0]] * _KEYS[0] + hashes[ids[:, 1]] * _KEYS[1]) % np.uint64(parts)).astype(np.int64)
-    low = (ranks[:, 2] << 32) | ranks[:, 3]
-    high = (ranks[:, 0] << 32) | ranks[:, 1]
-    order_ = np.lexsort((low, high, part, lang))
-    lang, part, ids, counts = lang[order_], part[order_], ranks[order_], counts[order_]
-    in_order = [words[k] for k in order]
+    ranks = place[ids]
+    low = (ranks[:, 2].astype(np.int64) << 32) | ranks[:, 3]
+    high = (ranks[:, 0].astype(np.int64) << 32) | ranks[:, 1]
+    at = np.lexsort((low, high, (lang.astype(np.int64) << 32) | part))
+    lang, part, ranks, counts = lang[at], part[at], ranks[at], counts[at]
+    text = np.frombuffer(b"".join([w + b"\n" for w in trie.words]), np.uint8)
+    starts, ends = lines_of(text)
     cuts = np.flatnonzero(np.r_[True, (lang[1:] != lang[:-1]) | (part[1:] != part[:-1]), True]).tolist()
     for a, b in zip(cuts, cuts[1:], strict=False):
-        single = ids[a:b, 1] == 0
-        yield langs[lang[a]], int(part[a]), int(counts[a:b][single].sum()), packed_run(in_order, ids[a:b], counts[a:b])
+        own = np.flatnonzero(np.bincount(ranks[a:b].reshape(-1)))
+        own = own[own > 0]
+        number = np.zeros(own[-1] + 1, np.uint16 if len(own) < 65_535 else np.uint32)
+        number[own] = np.arange(1, len(own) + 1)
+        words = order[own] - 1
+        lines = text[ragged(starts[words], ends[words] + 1 - starts[words])].tobytes()
+        single = ranks[a:b, 1] == 0
+        yield langs[lang[a]], int(part[a]), int(counts[a:b][single].sum()), packed_run(lines, number[ranks[a:b]], counts[a:b])
 
 
 def count_texts(batches: Iterator[pa.RecordBatch], parts: int, entries: int = TRIE_ENTRIES, burst: int = BURST) -> Iterator[tuple[str, int, int, bytes]]:
@@ -221,12 +237,11 @@ def count_texts(batches: Iterator[pa.RecordBatch], parts: int, entries: int = TR
         starts, ends, text = spans(data, bounds, ~(split | _SPACE[data]))
         if not len(starts):
             continue
-        _, at, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        hashes, at, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         if len(trie.words) + len(at) >= _MASK:
             yield from runs(trie, list(langs), parts)
             trie.clear()
-        raw, a, b = data.tobytes(), starts[at].tolist(), ends[at].tolist()
-        ids = trie.ids([raw[x:y] for x, y in zip(a, b, strict=True)])[inverse]
+        ids = trie.ids(hashes, data.tobytes(), starts[at], ends[at])[inverse]
         # Words of one piece are in one text, with as many split marks before them.
         piece = np.cumsum(split)[starts] + text
         spoken = numbers[text]
@@ -242,42 +257,45 @@ class Merger:
     """Sums sorted runs of one prefix partition; no more than ``entries`` wait to be merged at a time."""
 
     def __init__(self, entries: int = MERGE_ENTRIES):
-        self.limit = entries
-        self.known: dict[bytes, int] = {}
-        self.high, self.low, self.counts, self.waiting = [], [], [], 0
+        self.limit, self.waiting = entries, 0
+        #: Dictionary lines, word numbers and counts.
+        self.runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def add(self, run: bytes) -> None:
-        words, ids, counts = unpacked_run(run)
-        known = self.known
-        number = np.array([0, *(known.setdefault(w, len(known) + 1) for w in words)], np.int64)
-        ids = number[ids]
-        self.high.append((ids[:, 0] << 32) | ids[:, 1])
-        self.low.append((ids[:, 2] << 32) | ids[:, 3])
-        self.counts.append(counts)
-        self.waiting += len(counts)
+        self.runs.append(unpacked_run(run))
+        self.waiting += len(self.runs[-1][2])
         if self.waiting > self.limit:
             self.merge()
 
     def merge(self) -> None:
-        high, low, counts = (np.concatenate(x) for x in (self.high, self.low, self.counts))
+        text = np.concatenate([t for t, _, _ in self.runs])
+        starts, ends = lines_of(text)
+        _, first, number = np.unique(span_hashes(text, starts, ends), return_index=True, return_inverse=True)
+        # Words keep the order of their hashes, in which the runs are sorted.
+        number = np.r_[0, number + 1]
+        at = np.cumsum([0, *(int((t == 10).sum()) for t, _, _ in self.runs)])
+        columns = [np.concatenate([number[np.where(ids[:, k] > 0, a + ids[:, k], 0)] for a, (_, ids, _) in zip(at, self.runs, strict=False)]) for k in range(LONGEST)]
+        counts = np.concatenate([c for _, _, c in self.runs])
+        high, low = ((columns[k] << 32) | columns[k + 1] for k in (0, 2))
         order = np.lexsort((low, high))
         high, low = high[order], low[order]
         new = np.flatnonzero(np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])])
-        self.high, self.low, self.counts = [high[new]], [low[new]], [np.add.reduceat(counts[order], new)]
+        high, low, few = high[new], low[new], 0xFFFFFFFF
+        text = text[ragged(starts[first], ends[first] + 1 - starts[first])]
+        self.runs = [(text, np.stack([high >> 32, high & few, low >> 32, low & few], axis=1), np.add.reduceat(counts[order], new))]
         # What is left is held already; the next merge comes when as much again waits.
         self.waiting, self.limit = len(new), max(self.limit, 2 * len(new))
 
     def frequent(self, least: int) -> tuple[list[str], list[int], list[int]]:
         """Phrases, numbers of words and counts."""
-        if not self.counts:
+        if not self.runs:
             return [], [], []
         self.merge()
-        keep = np.flatnonzero(self.counts[0] >= least)
-        high, low = self.high[0][keep], self.low[0][keep]
-        ids = np.stack([high >> 32, high & 0xFFFFFFFF, low >> 32, low & 0xFFFFFFFF], axis=1)
-        words = [b"", *self.known]
-        text = [b" ".join(words[w] for w in row if w).decode() for row in ids.tolist()]
-        return text, (ids > 0).sum(axis=1).tolist(), self.counts[0][keep].tolist()
+        text, ids, counts = self.runs[0]
+        keep = np.flatnonzero(counts >= least)
+        words = [b"", *text.tobytes().split(b"\n")]
+        phrases = [b" ".join([words[w] for w in row if w]).decode() for row in ids[keep].tolist()]
+        return phrases, (ids[keep] > 0).sum(axis=1).tolist(), counts[keep].tolist()
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, lang_column: str = "lang", text_column: str = "text") -> DataFrame:
@@ -301,7 +319,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, lang_column: s
 
     def _rows(rows: list[tuple]) -> pa.RecordBatch:
         kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(4)], names=["lang", "part", "words", "run"])
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["lang", "part", "words", "run"])
 
     def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger, total = Merger(), 0
@@ -312,7 +330,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, lang_column: s
         text, words, f = merger.frequent(min_count)
         columns = [[key[0].as_py()] * (len(f) + 1), [*text, None], [*words, 0], [*f, total]]
         kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "phrase", "words", "f"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["lang", "phrase", "words", "f"])
 
     counted = source.mapInArrow(count, "lang string, part int, words long, run binary")
     return staged(counted.groupBy("lang", "part").applyInArrow(merge, "lang string, phrase string, words int, f long"), "phrases")
