@@ -2,6 +2,7 @@
 
 import base64
 import random
+import time
 
 import pyarrow as pa
 import pytest
@@ -70,6 +71,7 @@ def test_every_operator_takes_awkward_rows(spark, awkward, labels, model):
         assert {r.doc_id for r in hits} == ({1, 2, None} if rows else set())
         assert decontaminate.without_contaminated(docs, benchmark).columns == docs.columns
         back = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model), model)
+        assert sorted(map(repr, sentencepiece_codec.with_pieces(docs, model).collect())) == sorted(map(repr, back.collect()))
         assert back.where("decoded <> replace(coalesce(text, ''), '▁', ' ')").count() == 0
         assert sentencepiece_codec.round_trips(docs, model).count() == rows
         assert token_counts.token_counts(docs, vocabulary).where("n_unknown > 0").count() == 0
@@ -191,6 +193,18 @@ def test_longest_match_against_plain_search():
         assert list(row) == [len(counts), sum(1 if c is None else c for c in counts), counts.count(None)]
 
 
+def test_long_texts_without_spaces_take_seconds(model):
+    matcher = token_counts.LongestMatch(*token_counts.byte_vocabulary(RANKS))
+    rng = random.Random(6)
+    for text in ("".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(350_000)), "x" * 1_000_000):
+        began = time.monotonic()
+        numbers, bounds = model.encode(*sentencepiece_codec._led(pa.array([text])))
+        assert sentencepiece_codec._decoded(model, numbers, bounds)[0].as_py() == text
+        tokens = token_counts.word_tokens(*utf8(pa.array([text])), matcher)[0]
+        assert tokens[0] == 1 and 0 < tokens[1] <= len(text.encode()) and tokens[2] == 0
+        assert time.monotonic() - began < 20
+
+
 def test_trie_holds_the_vocabulary():
     import numpy as np
 
@@ -217,6 +231,10 @@ def test_pieces_equal_the_public_library(model):
         piece.score = sentencepiece_codec.rank_score(rank)
     public = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
     texts = ["a short text", "  two  spaces ", "new\nline\ttab", "café 日本語 \U0001f600", "x" * 700, "", "unñ $$$ %%% ###"]
+    # Long texts without spaces: cut where no piece spans, or searched byte by byte.
+    rng = random.Random(5)
+    texts += ["".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(4_000)), "日本語のテキスト、これは長い。" * 300, base64.b64encode(rng.randbytes(9_000)).decode()]
+    texts += ["éß\U0001f600" * 400 + "word" * 500, "=" * 5_000 + " and " + "ab" * 4_000]
     numbers, bounds = model.encode(*sentencepiece_codec._led(pa.array(texts)))
     for text, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
         assert model.ids[numbers[a:b]].tolist() == public.encode(text)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -65,8 +66,20 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+def release_memory() -> None:
+    """Give freed memory of Arrow and of the C heap back to the system, as Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # no glibc
+        return
+
+
 def steps(batches: Iterable[pa.RecordBatch], column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about ``limit`` bytes in ``column`` each; every row is in one slice, whole."""
+    """Slices of the batches with about ``limit`` bytes in ``column`` each; every row is in one slice, whole.
+
+    Freed memory is given back after the last slice.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -77,6 +90,7 @@ def steps(batches: Iterable[pa.RecordBatch], column: str, limit: int = STEP_BYTE
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+    release_memory()
 
 
 def strings(data: np.ndarray, bounds: np.ndarray) -> pa.Array:

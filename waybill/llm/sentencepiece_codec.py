@@ -12,7 +12,9 @@ probabilities by Zipf's law, ``-log(rank + 2)``, rounded to multiples of 2**-10
 so that sums are exact. Of two equal sums the one whose last piece is longer wins.
 
 Defined results: null and empty texts have no pieces and decode to an empty
-text. A text that holds U+2581 itself decodes to a space there, as the format
+text. Words of any length count in full: a long one is cut further where no piece
+spans the place, which leaves the result as it is, and what is still long is
+searched byte by byte. A text that holds U+2581 itself decodes to a space there, as the format
 cannot tell them apart. Rows are independent of each other.
 """
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +38,10 @@ MARK = "▁"
 #: What an unknown character costs below the worst piece, as in the public library.
 UNKNOWN_PENALTY = 10.0
 _SPACE = 0x20
+#: Bytes of text per step; a step takes some sixty times as much memory.
+STEP = 1_500_000
+#: Start positions of a long span whose pieces are looked up at a time.
+BLOCK = 200_000
 
 
 def rank_score(rank: int) -> float:
@@ -126,6 +133,71 @@ class UnigramModel:
         order = np.lexsort((-np.arange(len(owner)), owner))
         return number[order], np.bincount(owner, minlength=rows)
 
+    def _found(self, data: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Blocks of one span: their start, the bytes of the character at each position, and the pieces in them as
+        start, length and number."""
+        n = len(data)
+        for begin in range(0, n, BLOCK):
+            at = np.arange(begin, min(begin + BLOCK, n))
+            byte = data[at]
+            head = np.minimum(np.where(byte < 0x80, 1, np.where(byte < 0xE0, 2, np.where(byte < 0xF0, 3, 4))), n - at)
+            live, node = at, np.zeros(len(at), np.int32)
+            start, length, number = [], [], []
+            for size in range(1, self.longest + 1):
+                if live[-1] + size > n:
+                    keep = live + size <= n
+                    live, node = live[keep], node[keep]
+                node = self.trie.step(node, data[live + size - 1].astype(np.int32))
+                live, node = live[node >= 0], node[node >= 0]
+                if not len(live):
+                    break
+                value = self.trie.value[node]
+                hit = value >= 0
+                start.append(live[hit])
+                length.append(np.full(int(hit.sum()), size))
+                number.append(value[hit])
+            none = np.zeros(0, np.int64)
+            yield begin, head, *(np.concatenate([none, *parts]).astype(np.int64) for parts in (start, length, number))
+
+    def cuts(self, data: np.ndarray) -> np.ndarray:
+        """Places inside a span that no piece and no character spans, so that both sides can be searched apart."""
+        places, far = [], 0
+        for begin, head, start, length, _ in self._found(data):
+            at = np.arange(begin, begin + len(head))
+            lead = (data[at] & 0xC0) != 0x80
+            reach = np.where(lead, at + head, 0)
+            np.maximum.at(reach, start - begin, start + length)
+            before = np.maximum.accumulate(np.concatenate([[far], reach]))
+            places.append(at[lead & (before[:-1] <= at)])
+            far = int(before[-1])
+        return np.concatenate(places)[1:] if places else np.zeros(0, np.int64)
+
+    def search_long(self, data: np.ndarray) -> np.ndarray:
+        """Piece numbers of one long span: the search of ``search`` along the list of the pieces found in it."""
+        n = len(data)
+        best = array("d", [-math.inf]) * (n + 1)
+        came, piece = array("i", [0]) * (n + 1), array("i", [-1]) * (n + 1)
+        best[0] = 0.0
+        for begin, head, start, length, number in self._found(data):
+            plain = np.ones(len(head), bool)
+            plain[start[length == head[start - begin]] - begin] = False
+            alone = np.flatnonzero(plain)
+            starts = np.concatenate([start, begin + alone])
+            ends = np.concatenate([start + length, begin + alone + head[alone]])
+            gains = np.concatenate([self.score[number], np.full(len(alone), self.unknown)])
+            numbers = np.concatenate([number, np.full(len(alone), -1)])
+            order = np.argsort(starts, kind="stable")
+            for a, b, gain, found in zip(*(x[order].tolist() for x in (starts, ends, gains, numbers)), strict=True):
+                total = best[a] + gain
+                if total > best[b]:
+                    best[b], came[b], piece[b] = total, a, found
+        taken, spot = [], n
+        while spot:
+            before = came[spot]
+            taken += [piece[spot]] if piece[spot] >= 0 else (self.n + data[before:spot][::-1].astype(np.int64)).tolist()
+            spot = before
+        return np.array(taken[::-1], np.int64)
+
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece numbers of all texts and their n + 1 bounds. Texts are UTF-8 with a space in front."""
         texts = len(bounds) - 1
@@ -137,14 +209,18 @@ class UnigramModel:
         cut[bounds[:-1][np.diff(bounds) > 0]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(data))
+        wide = chunks.long_spans(starts, ends)
+        if len(wide):
+            starts = np.sort(np.concatenate([starts, *(a + self.cuts(data[a:b]) for a, b in zip(starts[wide], ends[wide], strict=True))]))
+            ends = np.append(starts[1:], len(data))
         first, inverse = chunks.distinct(words.span_hashes(data, starts, ends))
         a, b = starts[first], ends[first]
         count, offset, found, total = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64), [], 0
-        longer = ([np.array([i]), data[a[i] : b[i]][None, :]] for i in chunks.long_spans(a, b))
-        for group, matrix in (x for part in (chunks.matrices(data, a, b), longer) for x in part):
-            numbers, each = self.search(matrix, (b - a)[group])
-            count[group] = each
-            offset[group] = total + np.cumsum(each) - each
+        short = ((group, *self.search(matrix, (b - a)[group])) for group, matrix in chunks.matrices(data, a, b))
+        longer = ((np.array([i]), self.search_long(data[a[i] : b[i]]), None) for i in chunks.long_spans(a, b))
+        for group, numbers, each in (x for part in (short, longer) for x in part):
+            count[group] = len(numbers) if each is None else each
+            offset[group] = total + np.cumsum(count[group]) - count[group]
             found.append(numbers)
             total += len(numbers)
         numbers = np.concatenate(found)[chunks.ragged(offset[inverse], count[inverse])]
@@ -187,7 +263,7 @@ def encode(df: DataFrame, model: UnigramModel, text_column: str = "text", ids_co
     rest = df.select(*(df[c] for c in kept))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches, text_column):
+        for part in steps(batches, text_column, STEP):
             numbers, bounds = model.encode(*_led(column(part, text_column)))
             yield pa.RecordBatch.from_arrays([*part.columns, lists(model.ids[numbers], bounds)], names=[*kept, ids_column])
 
@@ -215,13 +291,32 @@ def decode(df: DataFrame, model: UnigramModel, ids_column: str = "piece_ids", te
     return rest.mapInArrow(work, with_field(rest.schema, text_column, "string"))
 
 
+def with_pieces(df: DataFrame, model: UnigramModel, text_column: str = "text", ids_column: str = "piece_ids", decoded_column: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``df`` with the piece ids of each text and the text they give back.
+
+    Columns of those names are replaced.
+    """
+    kept = [c for c in df.columns if c not in (ids_column, decoded_column)]
+    rest = df.select(*(df[c] for c in kept))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in steps(batches, text_column, STEP):
+            numbers, bounds = model.encode(*_led(column(part, text_column)))
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, lists(model.ids[numbers], bounds), _decoded(model, numbers, bounds)],
+                names=[*kept, ids_column, decoded_column],
+            )
+
+    return rest.mapInArrow(work, with_field(with_field(rest.schema, ids_column, "array<int>"), decoded_column, "string"))
+
+
 def round_trips(df: DataFrame, model: UnigramModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row its id, ``n_pieces``, ``n_byte_pieces``, the SHA-256 of its ids (little-endian 32-bit numbers) and
     whether decoding gives the text back."""
     source = df.select(df[id_column].alias("id"), df[text_column].alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches, "text"):
+        for part in steps(batches, "text", STEP):
             texts = column(part, "text")
             numbers, bounds = model.encode(*_led(texts))
             same = pc.equal(_decoded(model, numbers, bounds), pc.fill_null(texts, ""))

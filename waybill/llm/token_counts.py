@@ -92,6 +92,25 @@ class LongestMatch:
         return count
 
 
+    def count_long(self, word: bytes) -> int:
+        """``count`` for one long word, byte by byte."""
+        base, check, fail, pops = (memoryview(x) for x in (self.trie.base, self.trie.check, self.fail, self.pops))
+        node = count = 0
+        for byte in word:
+            while check[base[node] + byte] != node:
+                count += pops[node]
+                node = fail[node]
+                if node < 0:
+                    return -1
+            node = base[node] + byte
+        while node != self.more:
+            count += pops[node]
+            node = fail[node]
+            if node < 0:
+                return -1
+        return count
+
+
 def byte_vocabulary(path: str) -> tuple[list[bytes], list[bytes]]:
     """First and later pieces of a ranks file of byte-level pieces, in which a space marks the start of a word."""
     with open(path, "rb") as lines:
@@ -113,8 +132,7 @@ def word_tokens(data: np.ndarray, bounds: np.ndarray, matcher: LongestMatch, lea
         led = np.concatenate([np.broadcast_to(prefix, (len(group), len(prefix))), matrix], axis=1)
         counts[group] = matcher.count(led, (b - a)[group] + len(prefix))
     for i in chunks.long_spans(a, b):
-        led = np.concatenate([prefix, data[a[i] : b[i]]])[None, :]
-        counts[i] = matcher.count(led, np.array([led.shape[1]]))[0]
+        counts[i] = matcher.count_long(lead + data[a[i] : b[i]].tobytes())
     each = counts[inverse]
     at = np.searchsorted(text, np.arange(texts + 1))
     return np.stack([np.diff(at), chunks.sums(np.abs(each), at), chunks.sums(each < 0, at)], axis=1)
