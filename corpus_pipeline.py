@@ -49,7 +49,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with ``piece_ids``, ``n_pieces`` and ``decoded``, the text that the pieces give back."""
     model = sentencepiece_codec.UnigramModel.load(f"{TOKENIZERS}/piece_bpe_32k.model")
-    encoded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model), model)
+    encoded = sentencepiece_codec.with_pieces(docs, model)
     return encoded.withColumn("n_pieces", F.size("piece_ids"))
 
 
