@@ -317,3 +317,32 @@ def test_page_text_is_whole():
     # Two posts.
     two = f'<div class="post"><p>{long}</p></div><div class="post"><p>{long} Again.</p></div>'
     assert html_extract.main_text(page.format(two)) == f"{long}\n{long} Again."
+
+
+def test_names_alone_do_not_lose_an_article():
+    long, short = " ".join(["A sentence of the story, as long as such are."] * 12), "A shorter part, which belongs to it."
+    story = f"<p>{long}</p><p>{short}</p>"
+    want, nav, end = f"{long}\n{short}", "<nav><a href='/'>Menu</a></nav>", "<footer>End</footer>"
+    for body in (
+        f'<div class="layout no-sidebar"><div class="content">{story}</div></div>',
+        f'<div class="site has-sidebar"><article>{story}</article></div>',
+        f'<div class="sidebar-layout"><article>{story}</article></div>',
+        f'<form action="/x"><input name="q"><div>{story}</div></form>',
+        f'<article><div class="share-post">{story}</div></article>',
+        f'<article><p>{long}</p><section class="legal-analysis"><p>{short}</p></section></article>',
+        f'<article class="post comments-open">{story}</article>',
+        f'<article>{story}</article><div id="comments"><article class="comment"><p>{long} I agree.</p></article></div>',
+        f'<article>{story}</article><article class="teaser"><p>{short}</p></article>',
+        f'<article>{story}</article><div class="related"><article><a href="/y">{short}</a></article></div>',
+        f'<article>{story}<div style="display: none"><p>{short}</p></div><p hidden>{short}</p></article>',
+        f'<article>{story}<div class="social-links">Follow</div><p class="ad">Buy</p></article>',
+    ):
+        assert html_extract.main_text(f"<body>{nav}{body}{end}</body>") == want, body
+    assert html_extract.main_text(f'<body>{nav}<article><p><a href="/z">{short}</a></p></article>{end}</body>') == short
+
+
+@pytest.mark.parametrize("part", ["<a ", "<div>x", '<a href="', "<!x", "</b", "<title>t", "<b>x", "<li>x<ul>", "<p>x<p", "<a x='>y"])
+def test_broken_pages_take_linear_time(part):
+    began = time.monotonic()
+    html_extract.main_text(part * (1_000_000 // len(part)))
+    assert time.monotonic() - began < 12
