@@ -3,6 +3,7 @@
 import base64
 import random
 import time
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -164,7 +165,7 @@ def test_maximal_repeats_against_all_substrings():
 def test_edited_items_are_found_and_others_are_not():
     rng = random.Random(1)
     items = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(60, 300))).strip() for _ in range(20)]
-    benchmark = decontaminate.Benchmark(list(enumerate(items)))
+    benchmark = decontaminate.Benchmark(list(enumerate(items)), segment=None)
     for n in range(60):
         k = rng.randrange(20)
         text, budget = bytearray(benchmark.texts[k]), int(benchmark.edits[k])
@@ -181,6 +182,74 @@ def test_edited_items_are_found_and_others_are_not():
         assert hits == ({k: true} if true <= budget else {})
 
 
+def _searched(items, *texts, **options):
+    data, bounds, _ = decontaminate.in_form(*utf8(pa.array(texts)))
+    return decontaminate.Benchmark(list(enumerate(items)), **options).hits(data, bounds)
+
+
+def test_excerpts_of_items_are_found():
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9)))
+    items = [" ".join(word() for _ in range(40)) for _ in range(20)]
+    cut = lambda item, a, b: "plain words before " + " ".join(item.split()[a:b]) + " and after it"
+    for a, b in ((0, 30), (5, 35), (10, 40)):
+        found = _searched(items, *(cut(item, a, b) for item in items))
+        assert sum([k for k, *_ in own] == [n] for n, own in enumerate(found)) >= 18
+        for item, own in zip(items, found, strict=True):
+            assert all(x[1] == 0 and item[x[4] : x[5]] == cut(item, a, b)[x[2] : x[3]] for x in own)
+    # The whole item goes before its segments; short excerpts and texts of other words are no hits.
+    assert [own[0][4:] for own in _searched(items, *items)] == [(0, len(item)) for item in items]
+    assert _searched(items, *(cut(item, 0, 8) for item in items), " ".join(word() for _ in range(3000))) == [[]] * 21
+
+
+def test_best_end_equals_the_band():
+    rng = random.Random(3)
+    for _ in range(300):
+        pattern = bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 90)))
+        text = bytes(rng.choice(b"abc") for _ in range(rng.randint(0, 30))) + pattern[rng.randint(0, 3) :] + b"ab" * rng.randint(0, 9)
+        k = rng.randint(0, 6)
+        best = decontaminate.banded(pattern, text, k)
+        assert decontaminate.first_best_end(pattern, text, k) == (best and best[2])
+
+
+def test_short_items_are_found_as_words():
+    items = ["forty-two", "no", "no", "años", "a.b"]
+    found = _searched(items, "Say NO, then.", "nobody has two notes", "Forty-two años; xa.b a.by", "", "a.b", "no")
+    assert [[x[0] for x in own] for own in found] == [[1, 2], [], [0, 3], [], [4], [1, 2]]
+    assert found[0][0][1:4] == (0, 4, 6)
+    assert _searched(items, "no", shortest=3) == [[]]
+
+
+def test_repetitive_texts_in_bounded_memory():
+    items = ["x" * 1500, "ab" * 400, "ab" * 400 + "y" * 300, "quite another item of the benchmark, in words"]
+    tracemalloc.start()
+    found = _searched(items, "x" * 1_000_000, "ab" * 50_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [[x[:3] for x in own] for own in found] == [[(0, 0, 0)], [(1, 0, 0), (2, 0, 0)]]
+    assert found[1][1][4:] == (0, 120) and peak < 500_000_000
+
+
+def test_regions_do_not_depend_on_the_lots(monkeypatch):
+    rng = random.Random(11)
+    items = ["".join(rng.choice("ab ") for _ in range(rng.randint(30, 400))) for _ in range(30)]
+    texts = [item[rng.randint(0, 40) :] + items[rng.randrange(30)] + "".join(rng.choice("abc") for _ in range(50)) for item in items]
+    whole = _searched(items, *texts)
+    monkeypatch.setattr(decontaminate, "PAIRS", 50)
+    assert _searched(items, *texts) == whole and sum(map(len, whole)) >= 30
+
+
+def test_benchmark_in_blocks(spark):
+    items = [(k, f"item number {k} has words of its own such as w{k * 7919} and v{k * 104729}") for k in range(40)]
+    docs = [(k, "before it " + items[k][1] + " after it" if k < 40 else "nothing of the kind") for k in range(60)]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.search_benchmark(docs, items, block_bytes=600)
+    assert {(r.doc_id, r.item_id) for r in found.where("whole AND edits = 0").collect()} == {(k, k) for k in range(40)}
+    one = decontaminate.search_benchmark(docs, items)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, one.collect()))
+    assert {r.doc_id for r in decontaminate.drop_benchmark(docs, items, block_bytes=600).collect()} == set(range(40, 60))
+
+
 def test_longest_match_against_plain_search():
     rng = random.Random(4)
     first = {bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 4))) for _ in range(8)}

@@ -24,8 +24,7 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and benchmark item found in it."""
-    benchmark = decontaminate.load_benchmark(table(spark, sf_dir, "benchmark"))
-    return decontaminate.contaminations(table(spark, sf_dir, "documents"), benchmark)
+    return decontaminate.search_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
