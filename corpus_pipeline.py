@@ -41,9 +41,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of ``benchmark``."""
-    benchmark = decontaminate.load_benchmark(table(spark, sf_dir, "benchmark"))
-    return decontaminate.without_contaminated(docs, benchmark)
+    """Documents without an item of ``benchmark`` or a longer excerpt of one."""
+    return decontaminate.drop_benchmark(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
