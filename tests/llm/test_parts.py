@@ -372,6 +372,29 @@ def test_licence_notices_over_lines(spark):
     assert (found["a/x.py"].origin, found["d/LICENSE"].origin, found["d/e/y.c"].origin, found["d/e/y.c"].license) == ("header", "file", "inherited", "MIT")
 
 
+def test_near_licences_are_told_apart(spark):
+    head = "This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU {}General Public License as published by\n * the Free Software Foundation, {}."
+    texts = {
+        "agpl": (head.format("Affero ", "either version 3 of the License, or (at your option) any later version"), ["AGPL-3.0"]),
+        "gpl": (head.format("", "either version 3 of the License, or (at your option) any later version"), ["GPL-3.0"]),
+        "named": ("Some Tool is free software: " + head.format("", "either version 3 of the License, or (at your option) any later version")[31:], ["GPL-3.0"]),
+        "only": (head.format("", "version 2 of the License only"), ["GPL-2.0"]),
+        "four": (head.format("", "either version 4 of the License, or (at your option) any later version"), []),
+        "title": ("GNU AFFERO GENERAL PUBLIC LICENSE\n Version 3, 19 November 2007", ["AGPL-3.0"]),
+        "denied": ("This work is not licensed under the MIT License.", []),
+        "denied inside": ("This work is not licensed under the GNU General Public License, version 3.", []),
+        "granted": ("This work is, as was said, licensed under the MIT License.", ["MIT"]),
+        "isc": ("Permission to use, copy, modify, and/or distribute this software for any\n# purpose with or without fee is hereby granted, provided that the above\n# copyright notice and this permission notice appear in all copies.", ["ISC"]),
+        "unlicense": ("This is free and unencumbered software released into the public domain.", ["Unlicense"]),
+        "zlib": ("// SPDX-License-Identifier: Zlib\nint x;", []),
+    }
+    texts |= {f"spdx {name}": (f"// SPDX-License-Identifier: {name}\nint main;", [name]) for name in licenses.SPDX_NAMES}
+    texts |= {"spdx later": ("# SPDX-License-Identifier: GPL-3.0-or-later\nimport os", ["GPL-3.0"])}
+    rows = [(k, f"{name}/x.c", text) for k, (name, (text, _)) in enumerate(texts.items())]
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()
+    assert {r.path[:-4]: r.licenses for r in found} == {name: own for name, (_, own) in texts.items()}
+
+
 def test_page_text_is_whole():
     long, short = "A sentence of the story, as long as such are. " * 18, "A shorter part, which belongs to it as well."
     long = long.strip()

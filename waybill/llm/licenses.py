@@ -9,6 +9,12 @@ frequency; words outside the templates weigh like a word of a single document. A
 run whose cosine reaches ``THRESHOLD`` is a notice. Of notices that overlap in a
 text the one with the highest cosine stays.
 
+Near templates share most of their words, so a run must also pass on the words by
+which they differ: it may not hold more of another licence's own words than of its
+template's, it must hold the first number that tells the template apart, and after
+an SPDX tag the whole name. A negation that the template lacks, in the run or in the
+``DENIED_WITHIN`` words before it, denies the notice.
+
 Runs are first narrowed down without loss. By the Cauchy-Schwarz inequality the
 words of a template that a run holds must have the threshold's share of its
 length; a text without them is out, then a place without them within reach, then
@@ -63,7 +69,21 @@ TEMPLATES = [
     ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
     ("Apache-2.0", "Apache License Version 2.0, January 2004"),
     ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+#: Names that follow an SPDX tag: fixed values.
+SPDX_TAG = "SPDX-License-Identifier:"
+SPDX_NAMES = ["AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense"]
+TEMPLATES += [(name, f"{SPDX_TAG} {name}") for name in SPDX_NAMES]
+#: Words that deny a notice, as they are left when marks are taken out; and how many words before it they reach.
+DENIALS = ["not", "never", "cannot", "isn", "aren", "wasn", "weren"]
+DENIED_WITHIN = 4
+#: Templates of different licences whose words, all weighing the same, have this cosine are told apart by the words they differ in.
+NEAR = 0.6
 THRESHOLD = 0.8
 FILE_SHARE = 0.25
 #: Words of the longest run compared with a template, in words of the template.
@@ -106,6 +126,30 @@ def deciding_words(weights: list[dict[str, float]], threshold: float) -> list[st
     return sorted(found)
 
 
+def telling_words(templates: list[tuple[str, str]], near: float = NEAR) -> list[tuple[list[str], list[tuple[list[str], list[str]]]]]:
+    """Per template the words that a run of it must hold, and for each near template of another licence the words that only
+    the one and only the other has."""
+    rows = [_template_words(text) for _, text in templates]
+    bags = [set(row) for row in rows]
+    tag = _template_words(SPDX_TAG)
+    found = []
+    for (license, _), row, own in zip(templates, rows, bags, strict=True):
+        others = [
+            other
+            for (name, _), other in zip(templates, bags, strict=True)
+            if name != license and own and other and len(own & other) >= near * math.sqrt(len(own) * len(other))
+        ]
+        numbers = [w for w in row if w.isdigit() and any(w not in other for other in others)]
+        must = row[len(tag) :] if row[: len(tag)] == tag else numbers[:1]
+        found.append((sorted(set(must)), sorted({(tuple(sorted(own - o)), tuple(sorted(o - own))) for o in others})))
+    return [(must, [(list(a), list(b)) for a, b in pairs]) for must, pairs in found]
+
+
+def _told_apart(held: Column, must: Column, pairs: Column) -> Column:
+    share = lambda wanted: F.size(F.array_intersect(held, wanted)) / F.greatest(F.lit(1), F.size(wanted))
+    return (F.size(F.array_except(must, held)) == 0) & F.forall(pairs, lambda p: share(p["other"]) <= share(p["own"]))
+
+
 def license_notices(df: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(row, n_words, license, score) of every notice in ``df`` (row, text), none of them overlapping."""
     spark = df.sparkSession
@@ -124,6 +168,10 @@ def license_notices(df: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         [(k, license, word, idf[word], weight, reach[k]) for k, ((license, _), own) in enumerate(zip(templates, weights, strict=True)) for word, weight in own.items()],
         "template int, license string, word string, idf double, weight double, reach int",
     )
+    telling = spark.createDataFrame(
+        [(k, must, pairs, [w for w in DENIALS if w not in weights[k]]) for k, (must, pairs) in enumerate(telling_words(templates))],
+        "template int, must array<string>, pairs array<struct<own: array<string>, other: array<string>>>, denials array<string>",
+    )
     known = spark.createDataFrame([(w, idf[w]) for w in vocabulary], "word string, idf double")
     enough = threshold * threshold - 1e-9
 
@@ -165,7 +213,14 @@ def license_notices(df: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     runs = runs.where((F.col("end.dots") - F.col("dots0") + 1e-9) >= threshold * F.sqrt(F.col("end.load") - F.col("load0")))
     per_row = runs.groupBy("row").agg(F.collect_list(F.struct("template", "license", "start", F.col("end.pos").alias("stop"))).alias("runs"))
     cut = texts.join(per_row, "row").select("row", "words", F.explode("runs").alias("run"))
-    cut = cut.select("row", "run.*", F.slice("words", F.col("run.start") + 1, F.col("run.stop") - F.col("run.start") + 1).alias("words"))
+    begin = F.greatest(F.lit(0), F.col("run.start") - DENIED_WITHIN)
+    cut = cut.select(
+        "row", "run.*", F.slice("words", F.col("run.start") + 1, F.col("run.stop") - F.col("run.start") + 1).alias("words"),
+        F.slice("words", begin + 1, F.col("run.stop") + 1 - begin).alias("around"),
+    ).join(F.broadcast(telling), "template")
+    # Words of the run tell templates apart; a denial may stand before it as well.
+    cut = cut.where(~F.arrays_overlap("around", "denials") & _told_apart(F.col("words"), F.col("must"), F.col("pairs")))
+    cut = cut.select("row", "template", "license", "start", "stop", "words")
     cut = staged(cut.withColumn("id", F.xxhash64("words")), "license-runs")
 
     # Distinct contents once: a notice that a third of the corpus carries is scored once per task and then once.
