@@ -153,6 +153,19 @@ def test_the_clock_closes_the_windows_of_an_idle_stream(spark, folder, tmp_path)
     assert rows() == sorted([*first, ("AN", 1500, 1)])
 
 
+def test_the_clock_keeps_state_for_blocks_of_windows(spark, folder, tmp_path):
+    # 600 windows of one location, in a handful of entries of state; before, each had its own, and a timer.
+    stage(folder, "f0", [60 * k for k in range(600)], 1_000_000, extra=["0, AN, 59, 1, P", "0, AN, 35999, 1, P"])
+    counts = streaming.stream_counts_by_clock(streaming.stream_activity(spark, str(folder)), delay_seconds=2)
+    with streaming.state_settings(spark, True, 2):
+        query = streaming.stream_to_table(counts, str(tmp_path / "cp"), path=str(tmp_path / "out"), trigger={"processingTime": "500 milliseconds"})
+    streaming.stop_when_idle(query, 2)
+    found = sorted((int(r.window_start.timestamp()), r.n) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert found == [(60 * k, 2 if k in (0, 599) else 1) for k in range(600)]
+    held = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"])
+    assert 0 < held < 60
+
+
 def test_metrics_of_each_batch_are_files(spark, folder, tmp_path):
     for i, epochs in enumerate([[1000, 1200], [1300], [1001, 1400]]):
         stage(folder, f"f{i}", epochs, 1_000_000 + 100 * i, extra=["broken"] * (i + 1))

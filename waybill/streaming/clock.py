@@ -1,8 +1,8 @@
 """Windows that are closed by the clock instead of by later events.
 
 A watermark of event time stands still when the stream does, and its last windows stay
-open. Here every key and window has a processing-time timer in the query's own state, so
-an idle stream closes them too. Needs the RocksDB state store provider.
+open. Here processing-time timers in the query's own state close them, so an idle stream
+closes them too. Needs the RocksDB state store provider.
 """
 
 from __future__ import annotations
@@ -19,35 +19,67 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class _WindowCount(StatefulProcessor):
-    """The count of one key and window until its timer fires; after that, for a while, a mark that it is closed."""
+#: Consecutive windows of a key whose counts are one entry of state with one timer, so that a batch costs a call into
+#: Python for each such block, not for each window. It bounds the entry, not the windows.
+BLOCK_WINDOWS = 256
+
+
+class _WindowCounts(StatefulProcessor):
+    """The counts of a block of windows of one key, each until its time is up; after that, for a while, marks that they are closed."""
 
     def __init__(self, width_ms: int, delay_ms: int, remember_ms: int):
         self.width_ms, self.delay_ms, self.remember_ms = width_ms, delay_ms, remember_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", "n bigint, due bigint")
-        self.closed = handle.getValueState("closed", "n bigint", ttlDurationMs=self.remember_ms)
+        self.open = handle.getValueState("open", "timer bigint, starts array<bigint>, ns array<bigint>, dues array<bigint>")
+        self.closed = handle.getValueState("closed", "starts array<bigint>, untils array<bigint>", ttlDurationMs=self.remember_ms)
+
+    def _open(self) -> tuple[int | None, dict[int, tuple[int, int]]]:
+        """The block's timer and the count and end of waiting of each open window."""
+        if not self.open.exists():
+            return None, {}
+        timer, starts, ns, dues = self.open.get()
+        return timer, {s: (n, due) for s, n, due in zip(starts, ns, dues, strict=True)}
+
+    def _closed(self, now: int) -> dict[int, int]:
+        if not self.closed.exists():
+            return {}
+        return {s: until for s, until in zip(*self.closed.get(), strict=True) if until > now}
+
+    def _keep(self, before: int | None, windows: dict[int, tuple[int, int]]) -> None:
+        """Store the open windows; the timer is that of the first to close."""
+        timer = min((due for _, due in windows.values()), default=None)
+        if before is not None and before != timer:
+            self.handle.deleteTimer(before)
+        if timer is None:
+            self.open.clear()
+            return
+        if before != timer:
+            self.handle.registerTimer(timer)
+        self.open.update((timer, list(windows), [n for n, _ in windows.values()], [due for _, due in windows.values()]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
-        n = sum(int(part["n"].sum()) for part in rows)
-        before = self.open.get() if self.open.exists() else None
-        if before is None and self.closed.exists():
-            return iter(())
-        due = max(timerValues.getCurrentProcessingTimeInMs(), key[1] * 1000 + self.width_ms) + self.delay_ms
-        if before is not None and before[1] != due:
-            self.handle.deleteTimer(before[1])
-        if before is None or before[1] != due:
-            self.handle.registerTimer(due)
-        self.open.update((n + (before[0] if before else 0), due))
+        now = timerValues.getCurrentProcessingTimeInMs()
+        timer, windows = self._open()
+        closed = self._closed(now)
+        for part in rows:
+            for start, n in zip(part["start"].tolist(), part["n"].tolist(), strict=True):
+                if start in windows or start not in closed:
+                    due = max(now, start * 1000 + self.width_ms) + self.delay_ms
+                    windows[start] = (windows[start][0] + n if start in windows else n, due)
+        self._keep(timer, windows)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
-        n = self.open.get()[0]
-        self.open.clear()
-        self.closed.update((n,))
-        yield pd.DataFrame({"key": [key[0]], "start": [key[1]], "n": [n]})
+        now = timerValues.getCurrentProcessingTimeInMs()
+        _, windows = self._open()
+        over = {start: n for start, (n, due) in windows.items() if due <= now}
+        closed = self._closed(now) | dict.fromkeys(over, now + self.remember_ms)
+        self.closed.update((list(closed), list(closed.values())))
+        # The timer that fired is gone already.
+        self._keep(None, {start: window for start, window in windows.items() if start not in over})
+        yield pd.DataFrame({"key": [key[0]] * len(over), "start": list(over), "n": list(over.values())})
 
     def close(self) -> None:
         pass
@@ -62,7 +94,8 @@ def stream_counts_by_clock(
     that long. Rows for a window closed within ``remember_seconds`` are dropped; later
     ones would open it anew. Windows start at multiples of the width in UTC.
 
-    Rows are counted per Arrow batch before the shuffle, so a busy key sends a few rows a task.
+    Rows are counted per Arrow batch before the shuffle, so a busy key sends a few rows a task. State is
+    kept for ``BLOCK_WINDOWS`` windows of a key at a time.
     Run it with a ``processingTime`` trigger: timers fire in the batches that it starts.
     """
     start = F.floor(F.unix_seconds("event_time") / width_seconds) * width_seconds
@@ -73,8 +106,9 @@ def stream_counts_by_clock(
             yield batch.groupby(["key", "start"], dropna=False).size().reset_index(name="n")
 
     counted = activity.select(F.col(key).alias("key"), start.cast("bigint").alias("start")).mapInPandas(partial, f"key {kind}, start bigint, n bigint")
-    processor = _WindowCount(int(width_seconds * 1000), int(delay_seconds * 1000), int(remember_seconds * 1000))
-    closed = counted.groupBy("key", "start").transformWithStateInPandas(processor, f"key {kind}, start bigint, n bigint", "append", "processingTime")
+    blocks = counted.withColumn("block", F.floor(F.col("start") / (width_seconds * BLOCK_WINDOWS)).cast("bigint"))
+    processor = _WindowCounts(int(width_seconds * 1000), int(delay_seconds * 1000), int(remember_seconds * 1000))
+    closed = blocks.groupBy("key", "block").transformWithStateInPandas(processor, f"key {kind}, start bigint, n bigint", "append", "processingTime")
     return closed.select(F.col("key").alias(key), F.timestamp_seconds("start").alias("window_start"), "n")
 
 
