@@ -5,6 +5,7 @@ import random
 import time
 import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -140,6 +141,21 @@ def test_repeats_inside_and_across(spark):
     assert {r.doc_id: (r.n_removed, r.n_spans) for r in repeats.repeat_digests(docs).collect()} == expected
 
 
+def test_suffix_arrays_hold_only_what_recurs():
+    rng = np.random.default_rng(5)
+    passage = rng.integers(0, 256, 200, np.uint8).tobytes()
+    strings = [rng.integers(0, 256, 270, np.uint8).tobytes() for _ in range(3000)]
+    strings[7], strings[2000] = b"x" * 30 + passage + b"a" * 40, passage + b"b" * 70
+    list(repeats.maximal_repeats(strings[:2], 150))
+    tracemalloc.start()
+    found = [(size, sorted(zip(rows.tolist(), offsets.tolist()))) for size, rows, offsets in repeats.maximal_repeats(strings, 150)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(200, [(7, 30), (2000, 0)])]
+    # Before, the arrays of all strings took over 100 times their bytes.
+    assert peak < 60 * 270 * 3000
+
+
 def test_maximal_repeats_against_all_substrings():
     rng = random.Random(3)
     for _ in range(100):

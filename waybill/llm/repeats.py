@@ -43,7 +43,7 @@ from .words import mix, span_hashes
 ANCHOR = 24
 LAST = (1 << 63) - 1
 #: Bytes of pieces that one suffix array holds, unless a single anchor has more.
-ARRAY_BYTES = 3_000_000
+ARRAY_BYTES = 1_000_000
 
 
 def _anchor_hashes(data: np.ndarray) -> np.ndarray:
@@ -81,44 +81,86 @@ def pieces(data: np.ndarray, bounds: np.ndarray, min_length: int) -> tuple[np.nd
     return text[first], start[first], start[last] + min_length, hashes[anchor[first]]
 
 
+def _ranks(values: np.ndarray) -> np.ndarray:
+    """The rank from 1 of each value among the distinct ones."""
+    order = np.argsort(values)
+    ordered = values[order]
+    ranks = np.empty(len(values), np.int32)
+    ranks[order] = np.cumsum(np.r_[True, ordered[1:] != ordered[:-1]], dtype=np.int32)
+    return ranks
+
+
+def _recurring(contents: list[bytes], least: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The stretches of the strings that windows of ``least`` bytes cover which occur more than once, by hash, with their
+    strings and offsets.
+
+    A repeat lies within such a stretch, with every byte that all its places share on either side.
+    """
+    none = [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+    size = np.array([len(c) for c in contents], np.int64)
+    count = np.maximum(0, size - least + 1)
+    if not count.any():
+        return none
+    joined = b"".join(contents)
+    bounds = np.r_[0, np.cumsum(size)]
+    start = chunks.ragged(bounds[:-1], count)
+    hashes = span_hashes(np.frombuffer(joined, np.uint8), start, start + least)
+    # By value, one place next to the other: windows equal to a neighbour occur again.
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    again = np.zeros(len(start), bool)
+    again[order[1:][same]] = True
+    again[order[:-1][same]] = True
+    start = start[again]
+    if not len(start):
+        return none
+    row = np.repeat(np.arange(len(size)), count)[again]
+    head = np.flatnonzero(np.r_[True, (np.diff(start) != 1) | (np.diff(row) != 0)])
+    first, end = start[head], start[np.r_[head[1:], len(start)] - 1] + least
+    return [joined[a:b] for a, b in zip(first.tolist(), end.tolist(), strict=True)], row[head], first - bounds[row[head]]
+
+
 def maximal_repeats(contents: list[bytes], least: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Length, string numbers and offsets of each maximal repeat of at least ``least`` bytes in the strings.
 
-    A group holds all occurrences. Strings are equal to nothing beyond their ends.
+    A group holds all occurrences. Strings are equal to nothing beyond their ends. Only stretches that recur
+    are sorted; what is before and after them is different everywhere.
     """
+    contents, string, offset = _recurring(contents, least)
     size = np.array([len(c) for c in contents], np.int64)
-    if not len(size) or size.max() < least:
+    if not len(size):
         return
     stride = int(size.max()) + 1
     table = np.zeros((len(contents), stride), np.uint8)
     table[np.arange(stride)[None, :] < size[:, None]] = np.frombuffer(b"".join(contents), np.uint8)
     flat = np.concatenate([table.ravel(), np.zeros(2 * stride + 64, np.uint8)])
     n = table.size
-    row = np.repeat(np.arange(len(size)), stride)
-    left_over = size[row] - np.tile(np.arange(stride), len(size))
+    row = np.repeat(np.arange(len(size), dtype=np.int32), stride)
+    left_over = np.repeat(size.astype(np.int32), stride) - np.tile(np.arange(stride, dtype=np.int32), len(size))
 
     # Ranks of the prefixes of 8, 16, ... bytes, up to the longest string; a string's end is below every byte.
     eight = np.zeros(n + stride + 1, np.uint64)
     for k in range(8):
         eight[:n] = (eight[:n] << np.uint64(8)) | flat[k : k + n]
-    inside = left_over > 0
-    ranks = np.zeros(n + stride + 1, np.int64)
-    ranks[:n][inside] = np.unique(eight[:n][inside], return_inverse=True)[1] + 1
+    inside = np.flatnonzero(left_over > 0).astype(np.int32)
+    ranks = np.zeros(n + stride + 1, np.int32)
+    ranks[inside] = _ranks(eight[inside])
+    del eight
     levels = [(8, ranks)]
     reach = 8
     while reach < stride:
-        both = ranks[:n] * (int(ranks.max()) + 1)
-        both += ranks[np.minimum(np.arange(n) + np.minimum(reach, np.maximum(left_over, 0)), n)]
-        wider = np.zeros(n + stride + 1, np.int64)
-        wider[:n][inside] = np.unique(both[inside], return_inverse=True)[1] + 1
+        both = ranks[inside].astype(np.int64) << 32
+        both |= ranks[inside + np.minimum(reach, left_over[inside])]
+        wider = np.zeros(n + stride + 1, np.int32)
+        wider[inside] = _ranks(both)
         ranks = wider
         reach *= 2
         levels.append((reach, ranks))
 
     suffix = np.flatnonzero(left_over >= least)
     suffix = suffix[np.argsort(ranks[suffix], kind="stable")]
-    a, b = suffix[:-1].copy(), suffix[1:].copy()
-    limit = np.minimum(left_over[a], left_over[b])
+    a, b = suffix[:-1], suffix[1:]
+    limit = np.minimum(left_over[a], left_over[b]).astype(np.int64)
     common = np.zeros(len(a), np.int64)
     for width, rank in reversed(levels):
         common += np.where(rank[a + common] == rank[b + common], width, 0)
@@ -127,7 +169,7 @@ def maximal_repeats(contents: list[bytes], least: int) -> Iterator[tuple[int, np
         more = (common < limit) & (flat[a + common] == flat[b + common])
         common += more
     # Runs of suffixes that share the least length, less those that all extend to the left alike.
-    before = np.where(np.tile(np.arange(stride), len(size)) > 0, flat[np.arange(n) - 1].astype(np.int64), -1)[suffix]
+    before = np.where(suffix % stride > 0, flat[suffix - 1].astype(np.int64), -1)
     joined = common >= least
     edge = np.flatnonzero(np.diff(np.r_[False, joined, False].astype(np.int8)))
     for lo, hi in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
@@ -143,7 +185,8 @@ def maximal_repeats(contents: list[bytes], least: int) -> Iterator[tuple[int, np
                 own = before[start : k + 1]
                 if own[0] < 0 or (own != own[0]).any():
                     members = suffix[start : k + 1]
-                    yield length, row[members], members - row[members] * stride
+                    part = row[members]
+                    yield length, string[part], members - part * np.int64(stride) + offset[part]
             if height and (not stack or stack[-1][0] < height):
                 stack.append((height, start))
 
@@ -176,7 +219,8 @@ def repeated_spans(docs: DataFrame, min_length: int) -> DataFrame:
         for part in steps(batches, "text"):
             text, _, _, key = pieces(*utf8(column(part, "text")), min_length)
             row = column(part, "row").to_numpy()[text]
-            order = np.lexsort((row, key))
+            # Rows of a key may come in any order: a row told twice is one later on.
+            order = np.argsort(key)
             key, row = key[order].view(np.int64), row[order]
             if not len(key):
                 continue
