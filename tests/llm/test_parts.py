@@ -141,6 +141,29 @@ def test_repeats_inside_and_across(spark):
     assert {r.doc_id: (r.n_removed, r.n_spans) for r in repeats.repeat_digests(docs).collect()} == expected
 
 
+def test_rows_without_a_partner_get_no_bitmaps():
+    rng = np.random.default_rng(3)
+    group = np.sort(rng.integers(0, 40, 900))
+    n, pos = rng.integers(5, 60, 900), rng.integers(0, 12, 900)
+    order = np.lexsort((n, group))
+    n, pos, label, side = n[order], pos[order], rng.integers(0, 9, 900), np.where(group % 2, 2, rng.integers(0, 2, 900))
+    expected = np.zeros(900, bool)
+    for g in range(40):
+        own = np.flatnonzero(group == g)
+        # Full bitmaps turn no pair away.
+        maps = [np.full(1, 2**64 - 1, np.uint64)] * len(own)
+        for a, b in ngram_join.tile_pairs(n[own] + 64, pos[own], label[own], side[own], maps, 85):
+            expected[own[a]] = expected[own[b]] = True
+    found = ngram_join.comparable(group, n + 64, pos, label, side, 85)
+    assert found.tolist() == expected.tolist()
+    assert 0 < found.sum() < 900
+    lots = [pa.RecordBatch.from_arrays([pa.array(group[a : a + 7]), pa.array(n[a : a + 7])], names=["key", "n"]) for a in range(0, 900, 7)]
+    cut = list(ngram_join._whole_groups(iter(lots), ["key"]))
+    assert pa.concat_tables(t for t, _ in cut)["n"].to_pylist() == n.tolist()
+    keys = [set(t["key"].to_pylist()) for t, _ in cut]
+    assert sum(map(len, keys)) == len(set(group.tolist()))
+
+
 def test_suffix_arrays_hold_only_what_recurs():
     rng = np.random.default_rng(5)
     passage = rng.integers(0, 256, 200, np.uint8).tobytes()

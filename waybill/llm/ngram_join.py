@@ -11,8 +11,8 @@ at least ``percent`` / 100. The join is exact (up to equal 64-bit hashes):
    first. That joins most families; what is left are keys with classes of several
    components.
 4. The classes under such a key are cut into tiles of ``TILE`` and compared tile
-   by tile, only classes of different components and of sizes that can link.
-   Bitmaps of hashed shingles, with widths by size band, bound the overlap from
+   by tile, only classes of different components and of sizes and places of the key
+   that can link; rows without such a partner go before bitmaps are joined to the rest. Bitmaps of hashed shingles, with widths by size band, bound the overlap from
    above by bit counts; what passes is settled by intersecting the sorted sets. A
    set of classes that passes is settled once, under whatever keys it met, and returns
    the links that join components, no more than it has classes.
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, staged, steps, utf8
+from .common import column, discard, staged, steps, utf8
 from .components import components
 from .words import mix, shingle_sets
 
@@ -116,6 +116,46 @@ def tile_pairs(n: np.ndarray, pos: np.ndarray, label: np.ndarray, side: np.ndarr
                     yield a[p[passes]], second[q[passes]]
 
 
+def comparable(group: np.ndarray, n: np.ndarray, pos: np.ndarray, label: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows have a partner in their group by all that ``tile_pairs`` asks but the bitmaps; rows in order of group and ``n``."""
+    found, at, ahead = np.zeros(len(n), bool), np.arange(len(n)), 0
+    while len(at):
+        ahead += 1
+        at = at[at + ahead < len(n)]
+        # A row too large to link is followed by larger ones.
+        at = at[(group[at] == group[at + ahead]) & (100 * n[at] >= percent * n[at + ahead])]
+        to = at + ahead
+        fits = (label[at] != label[to]) & ((side[at] != side[to]) | (side[at] == 2))
+        fits &= np.minimum(n[at] - pos[at], n[to] - pos[to]) >= needed(n[at], n[to], percent)
+        found[at[fits]] = found[to[fits]] = True
+    return found
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """The rows in lots of whole groups, with the number of each row's group."""
+
+    def numbered(lot: pa.Table) -> np.ndarray:
+        change = np.zeros(lot.num_rows, np.int64)
+        for k in keys:
+            value = lot[k].to_numpy()
+            change[1:] |= value[1:] != value[:-1]
+        return np.cumsum(change)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lot = pa.Table.from_batches([*held, batch])
+        group = numbered(lot)
+        whole = int(np.searchsorted(group, group[-1]))
+        if whole:
+            yield lot.slice(0, whole), group[:whole]
+        held = lot.slice(whole).to_batches()
+    if held:
+        lot = pa.Table.from_batches(held)
+        yield lot, numbered(lot)
+
+
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The rows of each key, which come one after the other."""
     held: list[pa.RecordBatch] = []
@@ -285,13 +325,16 @@ class _Join:
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         side = lambda c: sets.select(F.col("cls").alias(c), F.col("shingles").alias(f"shingles_{c}"))
-        return staged(likely.join(side("a"), "a").join(side("b"), "b").mapInArrow(exact, "a long, b long"), "ngram-links")
+        found = staged(likely.join(side("a"), "a").join(side("b"), "b").mapInArrow(exact, "a long, b long"), "ngram-links")
+        for used in (likely, sets):
+            discard(used)
+        return found
 
     def tile_links(self, rows: DataFrame, labels: DataFrame, summaries: DataFrame) -> DataFrame:
         """Links between components that the neighbours left apart."""
         percent = self.percent
         rows = rows.drop("near").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-        rows = staged(rows, "ngram-rows")
+        rows = labelled = staged(rows, "ngram-rows")
         open_keys = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows")).where("low < high")
         tiles = F.ceil(F.col("rows") / TILE).cast("int")
         rows = rows.join(open_keys.select("key", tiles.alias("tiles")), "key").withColumn("tile", F.pmod(F.xxhash64("cls"), "tiles").cast("int"))
@@ -301,6 +344,10 @@ class _Join:
         )
         schema = "team long, cls long, n int, label long"
 
+        def partnered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for lot, group in _whole_groups(batches, ["key", "i", "j"]):
+                yield from lot.filter(pa.array(comparable(group, *_sides(lot), percent))).to_batches()
+
         def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for group in _groups(batches, ["key", "i", "j"]):
                 found = np.zeros(group.num_rows, bool)
@@ -340,11 +387,17 @@ class _Join:
 
         maps = summaries.groupBy("cls").agg(F.first("bits").alias("bits"))
         ordered = lambda df: df.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "cls")
+        rows = staged(ordered(rows).mapInArrow(partnered, rows.schema), "ngram-partnered")
+        discard(labelled)
         likely = ordered(rows.join(maps, "cls").select(*rows.columns, "bits")).mapInArrow(candidates, schema)
         likely = staged(likely.dropDuplicates(["team", "cls"]), "ngram-teams")
+        discard(rows)
         sets = self.sets(likely.select("cls"), summaries)
         teams = likely.join(sets, "cls").repartition("team").sortWithinPartitions("team", "n", "cls")
-        return staged(teams.mapInArrow(links, "a long, b long"), "ngram-tile-links")
+        found = staged(teams.mapInArrow(links, "a long, b long"), "ngram-tile-links")
+        for used in (likely, sets):
+            discard(used)
+        return found
 
 
 def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -363,6 +416,7 @@ def shingle_components(df: DataFrame, size: int = 5, percent: int = 80, id_colum
     rows = staged(join.shared_keys(), "ngram-keys")
     near = join.neighbour_links(rows, summaries)
     links = near.unionByName(join.tile_links(rows, components(near), summaries))
+    discard(rows)
     labels = components(links).withColumnRenamed("node", "cls")
     labelled = summaries.select("row", "id", "n", "cls").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("first")
