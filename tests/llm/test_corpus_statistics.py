@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -122,6 +123,18 @@ def test_tries_count_every_phrase(rows, entries, burst, monkeypatch):
     assert words == {k: sum(n for (lang, p), n in expected.items() if lang == k and " " not in p) for k in ("en", "de", "und")}
 
 
+def test_a_run_costs_what_it_holds():
+    # Before, each run went through all words of its task: 9.3 CPU seconds with 4,000 prefix partitions, 2.9 with four.
+    texts = pa.array([" ".join(f"w{k}" for k in range(a, a + 1000)) for a in range(0, 200_000, 1000)])
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), texts], names=["lang", "text"])
+    spent = {}
+    for parts in (4, 4, 4000):
+        start = time.process_time()
+        assert sum(n for _, _, n, _ in collocations.count_texts([batch], parts)) == 200_000
+        spent[parts] = time.process_time() - start
+    assert spent[4000] < 2 * spent[4] + 0.5
+
+
 def test_collocations_equal_the_plain_version(docs, rows):
     least, counts, best = 4, phrase_counts(rows), {}
     candidates = {key: a for key, a in counts.items() if " " in key[1] and a >= least}

@@ -214,15 +214,17 @@ def runs(trie: HatTrie, langs: list[str], parts: int, keep: int = 0) -> Iterator
     text = np.frombuffer(b"".join([w + b"\n" for w in trie.words]), np.uint8)
     starts, ends = lines_of(text)
     cuts = np.flatnonzero(np.r_[True, (lang[1:] != lang[:-1]) | (part[1:] != part[:-1]), True]).tolist()
+    # A run costs what it holds, not what all words of the task would: only the places of its own words are set and read.
+    number = np.zeros(len(order), np.uint32)
     for a, b in zip(cuts, cuts[1:], strict=False):
-        own = np.flatnonzero(np.bincount(ranks[a:b].reshape(-1)))
-        own = own[own > 0]
-        number = np.zeros(own[-1] + 1, np.uint16 if len(own) < 65_535 else np.uint32)
-        number[own] = np.arange(1, len(own) + 1)
+        own = np.sort(ranks[a:b], axis=None)
+        own = own[np.r_[own[0] > 0, own[1:] != own[:-1]]]
+        number[own] = np.arange(1, len(own) + 1, dtype=np.uint32)
+        numbers = number[ranks[a:b]].astype(np.uint16 if len(own) < 65_535 else np.uint32)
         words = order[own] - 1
         lines = text[ragged(starts[words], ends[words] + 1 - starts[words])].tobytes()
         single = ranks[a:b, 1] == 0
-        yield langs[lang[a]], int(part[a]), int(counts[a:b][single].sum()), packed_run(lines, number[ranks[a:b]], counts[a:b])
+        yield langs[lang[a]], int(part[a]), int(counts[a:b][single].sum()), packed_run(lines, numbers, counts[a:b])
 
 
 def count_texts(batches: Iterator[pa.RecordBatch], parts: int, entries: int = TRIE_ENTRIES, burst: int = BURST) -> Iterator[tuple[str, int, int, bytes]]:
