@@ -44,6 +44,8 @@ ANCHOR = 24
 LAST = (1 << 63) - 1
 #: Bytes of pieces that one suffix array holds, unless a single anchor has more.
 ARRAY_BYTES = 1_000_000
+#: Bytes of text that are cut into pieces at a time: some ten arrays of 64-bit values of that length live at once.
+PIECE_BYTES = 1_000_000
 
 
 def _anchor_hashes(data: np.ndarray) -> np.ndarray:
@@ -216,7 +218,7 @@ def repeated_spans(docs: DataFrame, min_length: int) -> DataFrame:
     are covered by windows which also start in a document of smaller rank, as ``row`` and lists ``starts`` and ``ends``."""
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches, "text"):
+        for part in steps(batches, "text", PIECE_BYTES):
             text, _, _, key = pieces(*utf8(column(part, "text")), min_length)
             row = column(part, "row").to_numpy()[text]
             # Rows of a key may come in any order: a row told twice is one later on.
@@ -260,7 +262,7 @@ def repeated_spans(docs: DataFrame, min_length: int) -> DataFrame:
     keys = staged(meeting.mapInArrow(shared, "row long, key long"), "repeat-anchors")
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches, "text"):
+        for part in steps(batches, "text", PIECE_BYTES):
             data, bounds = utf8(column(part, "text"))
             text, start, end, key = pieces(data, bounds, min_length)
             wanted = np.unique(np.asarray(column(part, "keys").flatten()))
